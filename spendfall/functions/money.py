@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from spendfall.schemas import MONEY, PCT, SHARE
 
 UNITS_PER_ONE = 10**12
-_LIMB = 10**6
 
 
 def to_cents(amount: Column) -> Column:
@@ -21,44 +20,42 @@ def from_cents(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
 
 
-def to_units(share: Column) -> Column:
-    """Decimal(18,12) share as a bigint number of 1e-12 units."""
-    return (share.cast(SHARE) * F.lit(UNITS_PER_ONE)).cast("bigint")
-
-
 def from_units(units: Column) -> Column:
     """Bigint share units as a decimal(18,12) share."""
     return (units.cast("decimal(18,0)") * F.lit("0.000000000001").cast("decimal(12,12)")).cast(SHARE)
 
 
-def _quotient(left: Column, right: Column) -> Column:
-    return F.call_function("div", left, right)
-
-
-def _carry(cents: Column, units: Column) -> tuple[Column, Column]:
-    """Middle limb product of cents x units and its low remainder, both within 64 bits.
+def split_floor(cents: str, units: str) -> str:
+    """SQL for floor(cents * units / 10^12), in 64 bits for every decimal(18,2) amount.
 
     With c = c1*10^6 + c0 and u = u1*10^6 + u0,
     c*u = c1*u1*10^12 + (c1*u0 + c0*u1)*10^6 + c0*u0.
     """
-    limb = F.lit(_LIMB).cast("bigint")
-    c1, c0 = _quotient(cents, limb), cents % limb
-    u1, u0 = _quotient(units, limb), units % limb
-    middle = c1 * u0 + c0 * u1
-    low = (middle % limb) * limb + c0 * u0
-    return c1 * u1 + _quotient(middle, limb), low
+    c1, c0, u1, u0 = f"{cents} div 1000000L", f"{cents} % 1000000L", f"{units} div 1000000L", f"{units} % 1000000L"
+    middle = f"(({c1}) * ({u0}) + ({c0}) * ({u1}))"
+    low = f"(({middle} % 1000000L) * 1000000L + ({c0}) * ({u0}))"
+    return f"(({c1}) * ({u1}) + {middle} div 1000000L + {low} div 1000000000000L)"
 
 
-def split_floor(cents: Column, units: Column) -> Column:
-    """floor(cents * units / 10^12) without overflow for every decimal(18,2) amount."""
-    high, low = _carry(cents, units)
-    return high + _quotient(low, F.lit(UNITS_PER_ONE))
+def split_remainder(cents: str, units: str) -> str:
+    """SQL for (cents * units) mod 10^12, in 64 bits for every decimal(18,2) amount.
+
+    Of c1*10^6*u only (c1*u0 mod 10^6)*10^6 survives the modulus.
+    """
+    high = f"((({cents} div 1000000L) * ({units} % 1000000L)) % 1000000L)"
+    return f"((({cents} % 1000000L) * {units} + {high} * 1000000L) % 1000000000000L)"
 
 
-def split_remainder(cents: Column, units: Column) -> Column:
-    """(cents * units) mod 10^12 without overflow for every decimal(18,2) amount."""
-    _, low = _carry(cents, units)
-    return low % F.lit(UNITS_PER_ONE)
+def spare_cents(cents: str, remainder_sum: str, missing: str) -> str:
+    """SQL for the cents that rounding down leaves over: (sum of remainders + cents * missing) / 10^12.
+
+    ``missing`` is what the shares lack to one, at most 10^6 units, so the product is
+    taken in two limbs. Shares that exceed one leave a negative rest, which is not
+    handed out.
+    """
+    high = f"(({cents} div 1000000L) * {missing})"
+    low = f"(({high} % 1000000L) * 1000000L + ({cents} % 1000000L) * {missing} + {remainder_sum})"
+    return f"greatest({high} div 1000000L + {low} div 1000000000000L, 0L)"
 
 
 def ratio6(numerator: Column, denominator: Column) -> Column:
@@ -67,8 +64,8 @@ def ratio6(numerator: Column, denominator: Column) -> Column:
     NULL where the denominator is zero or NULL.
     """
     top = (F.abs(numerator) * 100).cast("decimal(29,0)")
-    bottom = (denominator * 100).cast("decimal(29,0)")
-    millionths = _quotient(top * F.lit(2_000_000) + F.abs(bottom), F.abs(bottom) * F.lit(2))
+    bottom = F.abs((denominator * 100).cast("decimal(29,0)"))
+    millionths = F.call_function("div", top * F.lit(2_000_000) + bottom, bottom * F.lit(2))
     value = (millionths.cast("decimal(18,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(PCT)
     negative = (numerator < 0) != (denominator < 0)
     return F.when(denominator != 0, F.when(negative, -value).otherwise(value).cast(PCT))

@@ -10,18 +10,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from spendfall.functions.money import (
-    UNITS_PER_ONE,
     from_cents,
+    spare_cents,
     split_floor,
     split_remainder,
     to_cents,
 )
-from spendfall.operators.lookup import BROADCAST_BYTES, salted_join, table_bytes
+from spendfall.operators.lookup import BROADCAST_BYTES, row_bytes, salted_join
 from spendfall.operators.strategies import (
     ANY_LINE,
     fallback_candidates,
@@ -49,8 +48,6 @@ ARRAY_TARGETS = 4096
 # Remainder and place share one bigint: remainder < 2^40, place < 2^22.
 _PLACES = 1 << 22
 
-_TARGET = ["place", "to_id", "units", "share"]
-_NO_TARGET = "array(struct(0 as place, cast(null as string) as to_id, 1000000000000L as units, cast(null as decimal(18,12)) as share))"
 
 
 @dataclass(frozen=True)
@@ -92,66 +89,66 @@ def measured(
     array_targets: int = ARRAY_TARGETS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> Splits:
-    widest = outcomes.groupBy("rule_version", "step", "from_id").count().agg(F.max("count")).first()[0] or 0
-    small = widest <= array_targets and table_bytes(outcomes) <= broadcast_bytes
+    """Measure stored outcomes in one small job: their bytes, and the widest source."""
+    per_source = outcomes.groupBy("rule_version", "step", "from_id").agg(
+        F.count(F.lit(1)).alias("targets"), F.sum(row_bytes(outcomes)).alias("bytes")
+    )
+    widest, size = per_source.agg(F.max("targets"), F.sum("bytes")).first()
+    small = (widest or 0) <= array_targets and (size or 0) <= broadcast_bytes
     return Splits(outcomes, small, fallback_versions)
 
 
-def _rank_key(cents: Column, units: Column, place: Column) -> Column:
-    """Orders targets by remainder, then by place: the larger key is served first."""
-    return split_remainder(cents, units) * F.lit(_PLACES) + (F.lit(_PLACES - 1) - place)
-
-
-def _spare_cents(cents: Column, remainder_sum: Column, missing: Column) -> Column:
-    """Cents that rounding down leaves over: (sum of remainders + cents * missing) / 10^12.
-
-    ``missing`` is at most 10^6 units, so the product is taken in two limbs. Shares
-    that exceed one leave a negative rest, which is not handed out.
-    """
-    limb = F.lit(10**6)
-    high = F.call_function("div", cents, limb) * missing
-    low = (high % limb) * limb + (cents % limb) * missing + remainder_sum
-    spare = F.call_function("div", high, limb) + F.call_function("div", low, F.lit(UNITS_PER_ONE))
-    return F.greatest(spare, F.lit(0))
+def _rank_key(cents: str, units: str, place: str) -> str:
+    """SQL key that orders targets by remainder, then by place: the larger is served first."""
+    return f"({split_remainder(cents, units)} * {_PLACES}L + ({_PLACES - 1}L - {place}))"
 
 
 def _expand_arrays(flows: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Row-local split: the targets of a source arrive as one array by broadcast join.
+    """Row-local split by two broadcast joins: no shuffle and no sort of the widened rows.
 
-    No shuffle and no sort of the widened rows: one array of ranking keys per flow is
-    sorted to find the key from which on a spare cent is added.
+    The first join brings the share units of the source as one array, from which each
+    flow works out the ranking key that a target needs to be handed a spare cent. The
+    array is dropped again, and the second join widens the flow to its targets.
     """
-    by_source = outcomes.groupBy("rule_version", "from_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("to_id").isNotNull(), F.struct(*_TARGET)))).alias("found"),
-        F.max("missing").alias("found_missing"),
+    key = ["rule_version", "from_id"]
+    by_source = outcomes.groupBy(*key).agg(
+        F.expr("array_sort(collect_list(CASE WHEN to_id IS NOT NULL THEN struct(place, units) END)).units AS unit_list"),
+        F.max("missing").alias("missing"),
         F.max("reason_code").alias("found_reason"),
+        F.count("to_id").alias("target_count"),
     )
-    targets = F.when(F.size("found") > 0, F.col("found")).otherwise(F.expr(_NO_TARGET))
-    keyed = (
-        flows.join(F.broadcast(by_source), ["rule_version", "from_id"], "left")
-        .withColumn("targets", targets)
-        .withColumn("missing", F.coalesce(F.col("found_missing"), F.lit(0)))
-        .withColumn("keys", F.transform("targets", lambda t: _rank_key(F.col("cents"), t["units"], t["place"])))
-    )
-    remainder_sum = F.aggregate(
-        "keys", F.lit(0).cast("bigint"), lambda total, key: total + F.call_function("div", key, F.lit(_PLACES))
-    )
-    count = F.size("targets").cast("bigint")
+    targets = outcomes.where("to_id IS NOT NULL").select(*key, "to_id", "share", "units", "place")
+    remainder_sum = f"aggregate(rank_keys, 0L, (total, rank) -> total + rank div {_PLACES}L)"
     served = (
-        keyed.withColumn("spare", _spare_cents(F.col("cents"), remainder_sum, F.col("missing")))
-        .withColumn("to_all", F.call_function("div", F.col("spare"), count))
-        .withColumn("to_first", (F.col("spare") % count).cast("int"))
-        .withColumn(
-            "threshold",
-            F.when(F.col("to_first") > 0, F.element_at(F.sort_array("keys"), -F.col("to_first"))),
+        flows.join(F.broadcast(by_source), key, "left")
+        .selectExpr(
+            *flows.columns,
+            "found_reason",
+            "missing",
+            "target_count",
+            f"transform(unit_list, (u, place) -> {_rank_key('cents', 'u', 'place')}) AS rank_keys",
+        )
+        .selectExpr(
+            "*", f"CASE WHEN target_count > 0 THEN {spare_cents('cents', remainder_sum, 'missing')} ELSE 0L END AS spare"
+        )
+        .selectExpr(
+            *flows.columns,
+            "found_reason",
+            "CASE WHEN spare > 0 THEN spare div target_count ELSE 0L END AS to_all",
+            "CASE WHEN spare > 0 AND spare % target_count > 0 "
+            "THEN element_at(sort_array(rank_keys), -cast(spare % target_count AS int)) END AS threshold",
         )
     )
-    kept = [c for c in flows.columns if c != "from_id"] + ["found_reason", "to_all", "threshold"]
-    wide = served.select(*kept, F.inline("targets"))
-    extra = F.when(_rank_key(F.col("cents"), F.col("units"), F.col("place")) >= F.col("threshold"), 1).otherwise(0)
-    return wide.withColumn(
-        "part", split_floor(F.col("cents"), F.col("units")) + F.col("to_all") + extra
-    ).drop("to_all", "threshold", "place", "units")
+    served_first = f"{_rank_key('cents', 'units', 'place')} >= threshold"
+    kept = [c for c in flows.columns if c != "from_id"]
+    return served.join(F.broadcast(targets), key, "left").selectExpr(
+        *kept,
+        "found_reason",
+        "to_id",
+        "share",
+        "CASE WHEN to_id IS NULL THEN cents "
+        f"ELSE {split_floor('cents', 'units')} + to_all + CASE WHEN {served_first} THEN 1L ELSE 0L END END AS part",
+    )
 
 
 def _expand_rows(flows: DataFrame, outcomes: DataFrame, flow_key: list[str]) -> DataFrame:
@@ -167,23 +164,26 @@ def _expand_rows(flows: DataFrame, outcomes: DataFrame, flow_key: list[str]) ->
         "left",
         flow_key,
     )
-    flow = W.partitionBy(*flow_key)
-    units = F.coalesce(F.col("units"), F.lit(UNITS_PER_ONE))
-    place = F.coalesce(F.col("place"), F.lit(0))
-    served = (
-        joined.withColumn("rank_key", _rank_key(F.col("cents"), units, place))
-        .withColumn("position", F.row_number().over(flow.orderBy(F.desc("rank_key"))))
-        .withColumn("target_count", F.count(F.lit(1)).over(flow))
-        .withColumn("remainder_sum", F.sum(split_remainder(F.col("cents"), units)).over(flow))
-        .withColumn(
-            "spare",
-            _spare_cents(F.col("cents"), F.col("remainder_sum"), F.coalesce(F.col("missing"), F.lit(0))),
-        )
-    )
-    first = F.when(F.col("position") <= F.col("spare") % F.col("target_count"), 1).otherwise(0)
-    part = split_floor(F.col("cents"), units) + F.call_function("div", F.col("spare"), F.col("target_count")) + first
+    flow = ", ".join(flow_key)
     kept = [c for c in flows.columns if c != "from_id"]
-    return served.select(*kept, "found_reason", "to_id", "share", part.alias("part"))
+    counted = joined.selectExpr(
+        *kept,
+        "found_reason",
+        "to_id",
+        "share",
+        "units",
+        f"row_number() OVER (PARTITION BY {flow} ORDER BY {_rank_key('cents', 'units', 'place')} DESC) AS position",
+        f"count(*) OVER (PARTITION BY {flow}) AS target_count",
+        spare_cents("cents", f"sum({split_remainder('cents', 'units')}) OVER (PARTITION BY {flow})", "missing") + " AS spare",
+    )
+    return counted.selectExpr(
+        *kept,
+        "found_reason",
+        "to_id",
+        "share",
+        f"CASE WHEN to_id IS NULL THEN cents ELSE {split_floor('cents', 'units')} + spare div target_count "
+        "+ CASE WHEN position <= spare % target_count THEN 1L ELSE 0L END END AS part",
+    )
 
 
 def distribute(flows: DataFrame, splits: Splits, step: str, flow_key: list[str]) -> DataFrame:
@@ -201,15 +201,16 @@ def _hop(flows: DataFrame, splits: Splits, step: str, reached: str, share_name:
     """Split every live flow at ``step``; ``from_id`` holds its source, NULL once it has failed."""
     key = [c for c in ("gl_line_id", "rule_version", "tower_id", "app_id") if c in flows.columns]
     wide = distribute(flows, splits, step, key)
-    arrived = F.col("to_id").isNotNull()
-    fails_now = F.col("failed_step").isNull() & ~arrived
-    return (
-        wide.where(~arrived | (F.col("part") != 0))
-        .withColumn("reason_code", F.when(fails_now, F.coalesce("found_reason", F.lit(SHARED_UNATTRIBUTABLE))).otherwise(F.col("reason_code")))
-        .withColumn("failed_step", F.when(fails_now, F.lit(step)).otherwise(F.col("failed_step")))
-        .withColumnsRenamed({"to_id": reached, "share": share_name})
-        .withColumn("cents", F.col("part"))
-        .drop("part", "found_reason")
+    replaced = ("cents", "failed_step", "reason_code")
+    kept = [c for c in flows.columns if c not in ("from_id", *replaced)]
+    return wide.where("to_id IS NULL OR part <> 0").selectExpr(
+        *kept,
+        f"CASE WHEN to_id IS NULL THEN coalesce(failed_step, '{step}') END AS failed_step",
+        "CASE WHEN failed_step IS NOT NULL THEN reason_code "
+        f"WHEN to_id IS NULL THEN coalesce(found_reason, '{SHARED_UNATTRIBUTABLE}') END AS reason_code",
+        f"to_id AS {reached}",
+        f"share AS {share_name}",
+        "part AS cents",
     )
 
 

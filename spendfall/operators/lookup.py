@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _row_bytes(frame: DataFrame) -> Column:
+def row_bytes(frame: DataFrame) -> Column:
+    """Size of a row: text by its length, everything else as 16 bytes."""
     parts = [
         F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + F.lit(8) if kind == "string" else F.lit(16)
         for name, kind in frame.dtypes
@@ -24,7 +25,7 @@ def _row_bytes(frame: DataFrame) -> Column:
 
 def table_bytes(frame: DataFrame) -> int:
     """Bytes of column data, summed where the rows are; one number comes back."""
-    return frame.agg(F.coalesce(F.sum(_row_bytes(frame)), F.lit(0))).first()[0]
+    return frame.agg(F.coalesce(F.sum(row_bytes(frame)), F.lit(0))).first()[0]
 
 
 def hot_keys(frame: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:

@@ -98,9 +98,13 @@ class Model:
     spark: SparkSession
     sf_dir: str
 
+    @cached_property
+    def star(self) -> star.Star:
+        return star.Star(self.spark, self.sf_dir)
+
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return star.star_bronze(self.spark, self.sf_dir)
+        return star.star_bronze(self.star)
 
     @cached_property
     def conformed(self) -> Conformed:
@@ -215,7 +219,7 @@ def scan_table(m: Model) -> DataFrame:
 
 def contract_violations(m: Model) -> DataFrame:
     """Customers offered as ledger lines: debts are not positive amounts, some fields break patterns."""
-    offered = star.read_star(m.spark, m.sf_dir, "customer").select(
+    offered = m.star.table("customer").select(
         F.concat(F.lit(" CC-"), F.col("c_custkey"), F.lit(" ")).alias("gl_line_id"),
         F.when(F.col("c_mktsegment") == "BUILDING", "2026-1").otherwise("2026-01").alias("period"),
         F.concat(F.lit("70"), F.col("c_nationkey")).alias("gl_account"),
@@ -251,12 +255,12 @@ def conform_dims(m: Model) -> DataFrame:
 
 def dq_duplicate_keys(m: Model) -> DataFrame:
     """Line items whose order and line number are not unique."""
-    return quality.duplicate_keys(star.read_star(m.spark, m.sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return quality.duplicate_keys(m.star.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def dq_conflicting_keys(m: Model) -> DataFrame:
     """Customers' nations with more than one market segment, counting segments as attributes."""
-    customers = star.read_star(m.spark, m.sf_dir, "customer").select("c_nationkey", "c_mktsegment")
+    customers = m.star.table("customer").select("c_nationkey", "c_mktsegment")
     return quality.conflicting_keys(customers, "c_nationkey", ["c_mktsegment"])
 
 
@@ -267,7 +271,7 @@ def dq_fk_anti_join(m: Model) -> DataFrame:
 
 
 def dq_report(m: Model) -> DataFrame:
-    orders = star.read_star(m.spark, m.sf_dir, "orders")
+    orders = m.star.table("orders")
     control_total = orders.agg(F.sum(F.col("o_totalprice").cast(MONEY))).scalar()
     return quality.quality_report(m.conformed, control_total)
 

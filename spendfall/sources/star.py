@@ -26,8 +26,17 @@ SILENT_APP = "PROMO"
 ZERO_APP = "ECONOMY"
 
 
-def read_star(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+class Star:
+    """The star tables of one folder; the schema of each is read once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
 
 def spread_small(frame: DataFrame, key: str) -> DataFrame:
@@ -43,8 +52,8 @@ def _id(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def gl_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_star(spark, sf_dir, "orders").select(
+def gl_costs(star: Star) -> DataFrame:
+    orders = star.table("orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     return spread_small(orders, "o_orderkey").select(
@@ -57,16 +66,16 @@ def gl_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cost_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_star(spark, sf_dir, "customer").select(
+def cost_centers(star: Star) -> DataFrame:
+    return star.table("customer").select(
         _id("CC-", "c_custkey").alias("cost_center_id"),
         F.col("c_name").alias("cost_center_name"),
         F.when(F.col("c_acctbal") >= 0, _id("TWR-", "c_nationkey")).alias("tower_id"),
     )
 
 
-def resource_towers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = read_star(spark, sf_dir, "nation"), read_star(spark, sf_dir, "region")
+def resource_towers(star: Star) -> DataFrame:
+    nation, region = star.table("nation"), star.table("region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         _id("TWR-", "n_nationkey").alias("tower_id"),
         F.col("n_name").alias("tower_name"),
@@ -74,21 +83,21 @@ def resource_towers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+def applications(star: Star) -> DataFrame:
     criticality = (
         F.when(F.col("p_type").isin("ECONOMY", "SMALL"), "low")
         .when(F.col("p_type").isin("MEDIUM", "STANDARD"), "med")
         .otherwise("high")
     )
-    return read_star(spark, sf_dir, "part").select(
+    return star.table("part").select(
         _id("APP-", "p_type").alias("app_id"),
         F.col("p_type").alias("app_name"),
         criticality.alias("business_criticality"),
     ).distinct()
 
 
-def business_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_star(spark, sf_dir, "customer").select(
+def business_units(star: Star) -> DataFrame:
+    return star.table("customer").select(
         _id("BU-", "c_mktsegment").alias("bu_id"), F.col("c_mktsegment").alias("bu_name")
     ).distinct()
 
@@ -103,7 +112,7 @@ def _signal(step: str, source: Column, target: Column, metric: str, value: Colum
     )
 
 
-def usage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usage_metrics(star: Star) -> DataFrame:
     """Both usage steps from one pass over the line items.
 
     Line items are first reduced per order, supplier, part type and month: the part
@@ -111,7 +120,7 @@ def usage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     of month, nation, type and segment is small whatever the number of line items.
     """
     items = spread_small(
-        read_star(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"),
+        star.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"),
         "l_orderkey",
     ).select(
         "l_orderkey",
@@ -120,19 +129,19 @@ def usage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast(MONEY).alias("units"),
         F.date_format("l_shipdate", "yyyy-MM").alias("period"),
     )
-    parts = read_star(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    nation, region = read_star(spark, sf_dir, "nation"), read_star(spark, sf_dir, "region")
+    parts = star.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    nation, region = star.table("nation"), star.table("region")
     towers = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("r_name")
     )
     suppliers = (
-        read_star(spark, sf_dir, "supplier")
+        star.table("supplier")
         .select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
         .join(towers, "s_nationkey")
     )
-    segments = read_star(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    segments = star.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     buyers = lookup_join(
-        read_star(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
+        star.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
         segments,
         ["o_custkey"],
         "inner",
@@ -189,6 +198,6 @@ SOURCES = {
 }
 
 
-def star_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star_bronze(star: Star) -> dict[str, DataFrame]:
     """All six source tables in their bronze types."""
-    return {table: build(spark, sf_dir) for table, build in SOURCES.items()}
+    return {table: build(star) for table, build in SOURCES.items()}
