@@ -38,6 +38,7 @@ def rule_violations(rules: DataFrame, params: DataFrame, usage_metrics: DataFram
     complete = rules.groupBy("version_id").agg(
         F.count_distinct(F.when(F.col("step").isin(*STEPS), F.col("step"))).alias("known")
     )
+    heads = rules.select("version_id", "description", "created").distinct().withColumn("step", no_step)
     split = F.col("step") != GL_TO_TOWER
     strategy = F.col("strategy")
     with_params = rules.where(strategy.isin(WEIGHTED, MANUAL_OVERRIDE)).select("version_id", "step", "strategy")
@@ -56,14 +57,10 @@ def rule_violations(rules: DataFrame, params: DataFrame, usage_metrics: DataFram
             rules.where((split & strategy.isNull()) | (strategy.isNotNull() & ~strategy.isin(*STRATEGIES))),
             "strategy_unknown",
         ),
+        _found(heads.where(F.coalesce(F.trim("version_id"), F.lit("")) == ""), "version_id_blank"),
+        _found(heads.where(F.coalesce(F.trim("description"), F.lit("")) == ""), "description_blank"),
         _found(
-            rules.where(F.coalesce(F.trim("version_id"), F.lit("")) == ""), "version_id_blank"
-        ),
-        _found(
-            rules.where(F.coalesce(F.trim("description"), F.lit("")) == ""), "description_blank"
-        ),
-        _found(
-            rules.where(~F.coalesce(F.col("created").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.lit(False))),
+            heads.where(~F.coalesce(F.col("created").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.lit(False))),
             "created_not_a_date",
         ),
         _found(rules.where(~split & ~F.col("basis").eqNullSafe(F.lit(BASIS))), "basis_unknown"),
