@@ -8,6 +8,7 @@ twice. Cents are rounded at every hop, never on the product of the shares.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -56,7 +57,6 @@ class Splits:
 
     outcomes: DataFrame
     as_arrays: bool
-    fallback_versions: list[str]
 
 
 def split_table(
@@ -74,20 +74,12 @@ def split_table(
     candidates = usage_candidates(index, rules)
     if rules.fallback_versions:
         candidates = candidates.unionByName(fallback_candidates(towers, rules))
-    return measured(
-        materialize(split_outcomes(candidates)),
-        rules.fallback_versions,
-        array_targets=array_targets,
-        broadcast_bytes=broadcast_bytes,
-    )
+    stored = materialize(split_outcomes(candidates))
+    return measured(stored, array_targets=array_targets, broadcast_bytes=broadcast_bytes)
 
 
 def measured(
-    outcomes: DataFrame,
-    fallback_versions: list[str],
-    *,
-    array_targets: int = ARRAY_TARGETS,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    outcomes: DataFrame, *, array_targets: int = ARRAY_TARGETS, broadcast_bytes: int = BROADCAST_BYTES
 ) -> Splits:
     """Measure stored outcomes in one small job: their bytes, and the widest source."""
     per_source = outcomes.groupBy("rule_version", "step", "from_id").agg(
@@ -95,7 +87,7 @@ def measured(
     )
     widest, size = per_source.agg(F.max("targets"), F.sum("bytes")).first()
     small = (widest or 0) <= array_targets and (size or 0) <= broadcast_bytes
-    return Splits(outcomes, small, fallback_versions)
+    return Splits(outcomes, small)
 
 
 def _rank_key(cents: str, units: str, place: str) -> str:
@@ -214,9 +206,26 @@ def _hop(flows: DataFrame, splits: Splits, step: str, reached: str, share_name:
     )
 
 
-def gl_to_tower(gl: DataFrame, splits: Splits, versions: list[str]) -> DataFrame:
+def _per_version(flows: DataFrame, now: dict[str, str], after: dict[str, str]) -> DataFrame:
+    """Go from the versions of ``now`` to the finer ones of ``after``.
+
+    Versions with the same rules up to a hop travel as one, under the name of the
+    first, and part where their rules begin to differ.
+    """
+    parts = {name: sorted({after[v] for v in now if now[v] == name}) for name in set(now.values())}
+    if all(names == [name] for name, names in parts.items()):
+        return flows
+    named = F.lit(None).cast("array<string>")
+    for name, names in sorted(parts.items()):
+        named = F.when(F.col("rule_version") == name, F.array(*map(F.lit, names))).otherwise(named)
+    kept = [c for c in flows.columns if c != "rule_version"]
+    return flows.select(*kept, F.explode(named).alias("rule_version"))
+
+
+def gl_to_tower(gl: DataFrame, splits: Splits, rules: RuleSet, versions: Sequence[str] | None = None) -> DataFrame:
     """Hop 1: mapped lines follow their cost centre; unmapped ones fail or use the fallback."""
-    per_version = gl.select(
+    names = sorted(set(versions or rules.versions))
+    lines = gl.select(
         "gl_line_id",
         "period",
         "gl_account",
@@ -224,12 +233,15 @@ def gl_to_tower(gl: DataFrame, splits: Splits, versions: list[str]) -> DataFrame
         F.col("tower_id").alias("mapped_tower"),
         F.col("amount_eur").alias("gl_amount_eur"),
         to_cents(F.col("amount_eur")).alias("cents"),
-        F.explode(F.array(*[F.lit(v) for v in versions])).alias("rule_version"),
     )
+    if len(names) == 1:
+        per_version = lines.withColumn("rule_version", F.lit(names[0]))
+    else:
+        per_version = lines.withColumn("rule_version", F.explode(F.array(*map(F.lit, names))))
     mapped = F.col("mapped_tower").isNotNull()
     one = F.lit(1).cast(SHARE)
     no_text = F.lit(None).cast("string")
-    if not splits.fallback_versions:
+    if not rules.fallback_versions:
         return per_version.select(
             *[c for c in per_version.columns if c != "mapped_tower"],
             F.when(~mapped, F.lit(GL_TO_TOWER)).alias("failed_step"),
@@ -237,22 +249,24 @@ def gl_to_tower(gl: DataFrame, splits: Splits, versions: list[str]) -> DataFrame
             F.col("mapped_tower").alias("tower_id"),
             F.when(mapped, one).alias("gl_to_tower_proportion"),
         )
-    opted_in = F.col("rule_version").isin(splits.fallback_versions)
+    opted_in = F.col("rule_version").isin(rules.fallback_versions)
     closed = ~mapped & ~opted_in
-    flows = (
-        per_version.withColumn("failed_step", F.when(closed, F.lit(GL_TO_TOWER)))
-        .withColumn("reason_code", F.when(closed, F.lit(UNMAPPED)))
-        .withColumn("from_id", F.when(~mapped & opted_in, F.lit(ANY_LINE)))
+    flows = per_version.select(
+        "*",
+        F.when(closed, F.lit(GL_TO_TOWER)).alias("failed_step"),
+        F.when(closed, F.lit(UNMAPPED)).alias("reason_code"),
+        F.when(~mapped & opted_in, F.lit(ANY_LINE)).alias("from_id"),
     )
     # Mapped lines have no source to look up and pass through the hop whole.
     spread = _hop(flows, splits, GL_TO_TOWER, "tower_id", "gl_to_tower_proportion")
-    return (
-        spread.withColumn("failed_step", F.when(mapped, no_text).otherwise(F.col("failed_step")))
-        .withColumn("reason_code", F.when(mapped, no_text).otherwise(F.col("reason_code")))
-        .withColumn("tower_id", F.coalesce("mapped_tower", "tower_id"))
-        .withColumn("gl_to_tower_proportion", F.when(mapped, one).otherwise(F.col("gl_to_tower_proportion")))
-        .drop("mapped_tower")
-    )
+    return spread.withColumns(
+        {
+            "failed_step": F.when(mapped, no_text).otherwise(F.col("failed_step")),
+            "reason_code": F.when(mapped, no_text).otherwise(F.col("reason_code")),
+            "tower_id": F.coalesce("mapped_tower", "tower_id"),
+            "gl_to_tower_proportion": F.when(mapped, one).otherwise(F.col("gl_to_tower_proportion")),
+        }
+    ).drop("mapped_tower")
 
 
 def tower_to_app(tower_flows: DataFrame, splits: Splits) -> DataFrame:
@@ -272,16 +286,24 @@ def with_amount(flows: DataFrame) -> DataFrame:
     return flows.withColumn("amount_eur", from_cents(F.col("cents"))).drop("cents")
 
 
-def run_cascade(gl: DataFrame, splits: Splits, versions: list[str]) -> DataFrame:
-    """Where every cent of every ledger line ends up, one row per end point and version."""
-    ends = app_to_bu(tower_to_app(gl_to_tower(gl, splits, versions), splits), splits)
+def run_cascade(gl: DataFrame, splits: Splits, rules: RuleSet) -> DataFrame:
+    """Where every cent of every ledger line ends up, one row per end point and version.
+
+    Two versions that differ only at the last hop share the ledger scan and the first
+    two hops.
+    """
+    first, second = rules.shared([GL_TO_TOWER]), rules.shared([GL_TO_TOWER, TOWER_TO_APP])
+    own = {version: version for version in rules.versions}
+    towers = _per_version(gl_to_tower(gl, splits, rules, list(first.values())), first, second)
+    apps = _per_version(tower_to_app(towers, splits), second, own)
+    ends = app_to_bu(apps, splits)
     outcome = F.when(F.col("failed_step").isNull(), F.lit(ALLOCATED)).otherwise(F.lit(RESIDUAL))
     return with_amount(ends).withColumn("outcome", outcome)
 
 
 def cascade(gl: DataFrame, usage: DataFrame, towers: DataFrame, rules: RuleSet, **limits: int) -> DataFrame:
     """Splits and cascade together, for all versions of ``rules`` in one job."""
-    return run_cascade(gl, split_table(usage, towers, rules, **limits), rules.versions)
+    return run_cascade(gl, split_table(usage, towers, rules, **limits), rules)
 
 
 def allocation(ends: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from spendfall.schemas import MONEY, PCT
 
 
 def _of_version_total(amount: str) -> Column:
+    """Share of the version's total; the window sees one row per application or unit."""
     return ratio6(F.col(amount), F.sum(amount).over(W.partitionBy("rule_version")))
 
 
@@ -107,6 +108,7 @@ def driver_comparison(
     """The same ledger under two versions, per business unit. Any two versions may be compared."""
     amounts = _amounts_of_two(allocation, first, second, ["bu_id"])
     one, two = F.col(f"amount_{first}"), F.col(f"amount_{second}")
+    # One row per business unit is left by now, so one window may see them all.
     everything = W.partitionBy(F.lit(1))
     wide = "decimal(38,20)"
     zero = F.lit(0).cast(wide)

@@ -82,7 +82,7 @@ def allocate(spark: SparkSession, silver_dir: str, gold_dir: str, rules: RuleSet
     require_governed(rule_violations(rules.rules(spark), rules.params(spark), usage))
     splits = split_table(usage, silver["dim_resource_tower"], rules)
     folder = f"{scratch_dir(spark)}/ends-{uuid4().hex}"
-    run_cascade(gl, splits, rules.versions).write.mode("overwrite").partitionBy("outcome").parquet(folder)
+    run_cascade(gl, splits, rules).write.mode("overwrite").partitionBy("outcome").parquet(folder)
     ends = spark.read.parquet(folder)
     require_balanced(reconciliation(gl, ends, rules.versions))
     require_lines_balanced(line_reconciliation(gl, ends, rules.versions))
@@ -150,7 +150,7 @@ def build_reports(
     gl = silver["fact_gl_cost"]
     both = compared.only(first, second)
     splits = split_table(silver["fact_usage_metric"], silver["dim_resource_tower"], both)
-    ends = run_cascade(gl, splits, both.versions)
+    ends = run_cascade(gl, splits, both)
     # One pass over the cascade: everything the comparison needs is this small.
     summed = (
         ends.groupBy("rule_version", "outcome", "app_id", "bu_id")

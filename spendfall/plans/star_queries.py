@@ -131,7 +131,7 @@ class Model:
 
     @cached_property
     def ends(self) -> DataFrame:
-        return cas.run_cascade(self.gl, self.splits(self.rules), self.rules.versions)
+        return cas.run_cascade(self.gl, self.splits(self.rules), self.rules)
 
     @cached_property
     def allocation(self) -> DataFrame:
@@ -312,24 +312,24 @@ _FLOW = ["rule_version", "gl_line_id", "tower_id", "app_id", "amount_eur", "fail
 
 
 def gl_to_tower(m: Model) -> DataFrame:
-    flows = cas.with_amount(cas.gl_to_tower(m.gl, m.splits(m.rules), m.rules.versions))
+    flows = cas.with_amount(cas.gl_to_tower(m.gl, m.splits(m.rules), m.rules))
     return flows.select(*[c for c in _FLOW if c != "app_id"], "gl_to_tower_proportion")
 
 
 def gl_to_tower_fallback(m: Model) -> DataFrame:
     rules = rule_set(FALLBACK_RULES)
-    flows = cas.with_amount(cas.gl_to_tower(m.gl, m.splits(rules), rules.versions))
+    flows = cas.with_amount(cas.gl_to_tower(m.gl, m.splits(rules), rules))
     return flows.select(*[c for c in _FLOW if c != "app_id"], "gl_to_tower_proportion")
 
 
 def tower_to_app(m: Model) -> DataFrame:
     splits = m.splits(m.rules)
-    flows = cas.tower_to_app(cas.gl_to_tower(m.gl, splits, m.rules.versions), splits)
+    flows = cas.tower_to_app(cas.gl_to_tower(m.gl, splits, m.rules), splits)
     return cas.with_amount(flows).select(*_FLOW, "tower_to_app_proportion")
 
 
 def _all_strategies(m: Model, rules: RuleSet) -> DataFrame:
-    ends = cas.run_cascade(m.gl, m.splits(rules), rules.versions)
+    ends = cas.run_cascade(m.gl, m.splits(rules), rules)
     return ends.groupBy("rule_version", "outcome", "failed_step", "reason_code", "tower_id", "app_id", "bu_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("amount_eur").cast(MONEY).alias("amount_eur")
     )
@@ -347,7 +347,7 @@ def cascade_with_fallback(m: Model) -> DataFrame:
 def cascade_shuffled(m: Model) -> DataFrame:
     """The same cascade by salted joins and windows, as used when splits are too large to broadcast."""
     splits = replace(m.splits(m.rules), as_arrays=False)
-    return cas.allocation(cas.run_cascade(m.gl, splits, m.rules.versions))
+    return cas.allocation(cas.run_cascade(m.gl, splits, m.rules))
 
 
 # --- lineage -----------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from pathlib import Path
@@ -40,6 +40,19 @@ class RuleSet:
         """Versions that split unmapped lines instead of leaving them as residual."""
         return sorted({row[0] for row in self.rule_rows if row[3] == GL_TO_TOWER and row[5] is not None})
 
+    def shared(self, steps: Sequence[str]) -> dict[str, str]:
+        """For each version, the first version with the same rules at all of ``steps``."""
+        first: dict[tuple, str] = {}
+        result = {}
+        for version in self.versions:
+            body = tuple(
+                tuple(sorted((row[3:] for row in self.rule_rows if row[0] == version and row[3] == step), key=str))
+                + tuple(sorted(row[1:] for row in self.param_rows if row[0] == version and row[1] == step))
+                for step in steps
+            )
+            result[version] = first.setdefault(body, version)
+        return result
+
     def rules(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.rule_rows), RULES_SCHEMA)
 

@@ -39,13 +39,14 @@ class Star:
         return self._read[name]
 
 
-def spread_small(frame: DataFrame, key: str) -> DataFrame:
-    """Spread an input of fewer files than cores, so that a small table uses all of them.
+def spread_small(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of fewer splits than cores, so that a small table uses all of them.
 
-    A large input has more files than that and is left as it is scanned.
+    A large input has more splits than that and is left as it is scanned. ``keys``
+    together are close to unique, so no key can fill one partition.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, key) if len(frame.inputFiles()) < cores else frame
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def _id(prefix: str, column: str) -> Column:
@@ -122,6 +123,8 @@ def usage_metrics(star: Star) -> DataFrame:
     items = spread_small(
         star.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"),
         "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
     ).select(
         "l_orderkey",
         "l_partkey",

@@ -212,7 +212,7 @@ def test_random_cases_match_the_row_by_row_model(spark, seed):
         expected[name] = Counter(brute.cascade(lines, usage, towers, rule))
     for form in (splits, replace(splits, as_arrays=False)):
         found = defaultdict(Counter)
-        for row in run_cascade(gl, form, rules.versions).collect():
+        for row in run_cascade(gl, form, rules).collect():
             found[row.rule_version][
                 (row.gl_line_id, row.tower_id, row.app_id, row.bu_id, int(row.amount_eur * 100), row.failed_step, row.reason_code)
             ] += 1

@@ -100,7 +100,7 @@ def test_source_without_usage_has_no_candidates(spark):
 @pytest.mark.parametrize("as_arrays", [True, False])
 def test_five_cents_over_three(spark, as_arrays):
     outcomes = split_outcomes(usage_candidates(_usage(spark, {"A": "1", "B": "1", "C": "1"}), _rules({"strategy": "even_spread"})))
-    splits = measured(materialize(outcomes), [], array_targets=4096 if as_arrays else 1)
+    splits = measured(materialize(outcomes), array_targets=4096 if as_arrays else 1)
     assert splits.as_arrays is as_arrays
     flows = spark.createDataFrame([("L", "v", "T", 5)], "gl_line_id string, rule_version string, from_id string, cents long")
     parts = {row.to_id: row.part for row in distribute(flows, splits, "tower_to_app", ["gl_line_id"]).collect()}
