@@ -215,11 +215,11 @@ def _per_version(flows: DataFrame, now: dict[str, str], after: dict[str, str]) -
     parts = {name: sorted({after[v] for v in now if now[v] == name}) for name in set(now.values())}
     if all(names == [name] for name, names in parts.items()):
         return flows
-    named = F.lit(None).cast("array<string>")
-    for name, names in sorted(parts.items()):
-        named = F.when(F.col("rule_version") == name, F.array(*map(F.lit, names))).otherwise(named)
+    # One row per version: as small as the rule folder.
+    pairs = [(name, finer) for name, names in sorted(parts.items()) for finer in names]
+    finer = flows.sparkSession.createDataFrame(pairs, "rule_version string, finer_version string")
     kept = [c for c in flows.columns if c != "rule_version"]
-    return flows.select(*kept, F.explode(named).alias("rule_version"))
+    return flows.join(F.broadcast(finer), "rule_version").select(*kept, F.col("finer_version").alias("rule_version"))
 
 
 def gl_to_tower(gl: DataFrame, splits: Splits, rules: RuleSet, versions: Sequence[str] | None = None) -> DataFrame:
