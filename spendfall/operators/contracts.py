@@ -23,7 +23,8 @@ def _money_checks(name: str, kind: str) -> list[Column]:
     number = F.coalesce(text.rlike(_NUMBER), F.lit(False))
     # Text with more than two significant decimals is refused, not rounded.
     exact = F.expr(f"try_cast(trim({name}) as decimal(38,18))")
-    fits = F.coalesce(~text.rlike(_TOO_FINE) & (exact == F.round(exact, 2)), F.lit(False))
+    vanished = (exact == 0) & text.rlike("^[^eE]*[1-9]")
+    fits = F.coalesce(~text.rlike(_TOO_FINE) & (exact == F.round(exact, 2)) & ~vanished, F.lit(False))
     in_range = F.coalesce(F.abs(exact) < F.lit(10**16).cast("decimal(38,18)"), F.lit(False))
     low = exact <= 0 if kind == "money_positive" else exact < 0
     return [

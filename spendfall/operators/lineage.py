@@ -65,7 +65,7 @@ def trace_backward(
 ) -> DataFrame:
     """The allocated rows behind a business unit, an application, or both."""
     if bu_id is None and app_id is None:
-        raise ValueError("trace_backward requires bu_id or app_id.")
+        raise ValueError("Give a bu_id, an app_id, or both.")
     rows = edges.where((F.col("rule_version") == rule_version) & (F.col("outcome") == ALLOCATED))
     if bu_id is not None:
         rows = rows.where(F.col("bu_id") == bu_id)
@@ -135,7 +135,7 @@ def require_round_trip(rows: DataFrame) -> list:
     found = rows.collect()
     for row in found:
         if not (row.balanced and row.matches_allocation and row.matches_residual):
-            raise LineageError(f"Lineage round-trip failed for {row.rule_version}: {row.asDict()}")
+            raise LineageError(f"Lineage and gold disagree under {row.rule_version}: {row.asDict()}")
     return found
 
 
@@ -143,13 +143,12 @@ def require_traceable(edges: DataFrame) -> None:
     """Raise if a line is incomplete or the shares drift too far from the booked cents."""
     for row in line_completeness(edges).where(~F.col("balanced")).limit(1).collect():
         raise LineageError(
-            f"Lineage per-line completeness failed for {row.gl_line_id}: "
-            f"expected={row.expected_eur} actual={row.actual_eur}"
+            f"Lineage of {row.gl_line_id} is incomplete: {row.expected_eur} went in, {row.actual_eur} came out"
         )
     for row in proportion_drift(edges).where(~F.col("within_bound")).limit(1).collect():
         raise LineageError(
-            f"Lineage proportion drift too large for {row.gl_line_id}: "
-            f"product={row.raw_product_eur} allocated={row.allocated_amount_eur} drift={row.drift_eur}"
+            f"Shares of {row.gl_line_id} drift {row.drift_eur} from the booked cents: "
+            f"{row.raw_product_eur} against {row.allocated_amount_eur}"
         )
 
 

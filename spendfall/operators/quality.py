@@ -179,9 +179,9 @@ def require_passed(report: DataFrame) -> list:
     rows = report.collect()
     failed = [row for row in rows if not row.passed]
     if failed:
-        lines = ["Silver data-quality checks failed:"]
+        lines = ["Data-quality checks failed:"]
         for row in failed:
-            detail = f" detail={row.detail}" if row.detail else ""
-            lines.append(f"- {row.name}: failure_count={row.failure_count}{detail}")
+            detail = f" ({row.detail})" if row.detail else ""
+            lines.append(f"  {row.name}: {row.failure_count} failures{detail}")
         raise QualityError("\n".join(lines))
     return rows

@@ -87,9 +87,8 @@ def require_balanced(totals: DataFrame) -> list:
     for row in rows:
         if not row.balanced:
             raise ReconciliationError(
-                f"Reconciliation failed for {row.rule_version}: total_gl={row.total_gl_eur} "
-                f"allocated={row.total_allocated_eur} residual={row.total_residual_eur} "
-                f"difference={row.difference_eur}"
+                f"{row.rule_version} is out of balance by {row.difference_eur}: ledger {row.total_gl_eur}, "
+                f"allocated {row.total_allocated_eur}, residual {row.total_residual_eur}"
             )
     return rows
 
@@ -98,6 +97,6 @@ def require_lines_balanced(lines: DataFrame) -> None:
     """Raise with one ledger line that is lost, doubled or changed, if there is any."""
     for row in lines.where(~F.col("balanced")).limit(1).collect():
         raise ReconciliationError(
-            f"GL line {row.gl_line_id} is not fully reconciled under {row.rule_version}: "
-            f"expected={row.expected_eur} actual={row.actual_eur}"
+            f"Ledger line {row.gl_line_id} is out of balance under {row.rule_version}: "
+            f"{row.expected_eur} went in, {row.actual_eur} came out"
         )

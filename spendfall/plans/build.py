@@ -176,7 +176,7 @@ def stages_to_run(target: str | None) -> list[str]:
     if target is None:
         return list(STAGES)
     if target not in STAGES:
-        raise ValueError(f"Unknown stage '{target}'. Expected one of: {', '.join(STAGES)}")
+        raise ValueError(f"There is no stage '{target}', only {', '.join(STAGES)}")
     return [target] if target in ALONE else list(STAGES[: STAGES.index(target) + 1])
 
 

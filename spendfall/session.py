@@ -31,7 +31,7 @@ def scratch_dir(spark: SparkSession) -> str:
     back to a temporary folder of this machine.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current is None:
         if configured is None:

@@ -29,13 +29,13 @@ def check_header(spark: SparkSession, path: str, table: str) -> list[str]:
         first_lines = spark.read.option("header", False).option("escape", '"').csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Expected source file for {table}: {path}") from error
+            raise FileNotFoundError(f"No export of {table} at {path}") from error
         raise
     if not first_lines.columns:
-        raise HeaderError(f"{path} is empty.")
+        raise HeaderError(f"{path} has no header: the file is empty.")
     header = spark.read.option("header", True).option("escape", '"').csv(path).columns
     if header != expected:
-        raise HeaderError(f"{path} header mismatch. Expected {expected}, got {header}.")
+        raise HeaderError(f"{path} has the header {header} instead of {expected}.")
     return header
 
 

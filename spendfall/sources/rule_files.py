@@ -63,7 +63,7 @@ class RuleSet:
         """The named versions; an unknown one is an error that lists what there is."""
         for version_id in version_ids:
             if version_id not in self.versions:
-                raise RuleError(f"Unknown rule version '{version_id}'. Available versions: {', '.join(self.versions)}")
+                raise RuleError(f"There is no rule version '{version_id}'. Known versions: {', '.join(self.versions)}")
         return RuleSet(
             tuple(row for row in self.rule_rows if row[0] in version_ids),
             tuple(row for row in self.param_rows if row[0] in version_ids),
@@ -79,7 +79,7 @@ def _step_rows(version: dict, step: str) -> tuple[tuple, list[tuple]]:
     if step == GL_TO_TOWER:
         if "strategy" in body:
             raise RuleError(
-                "gl_to_tower is mapping-first; use on_unmapped for an explicit fallback strategy."
+                "gl_to_tower follows the cost centre; name a fallback under on_unmapped instead of a strategy."
             )
         if set(body) - {"basis", "on_unmapped"}:
             raise RuleError(f"{version['version_id']}: unknown fields in {step}: {sorted(body)}.")
@@ -110,7 +110,7 @@ def rule_set(versions: Iterable[dict]) -> RuleSet:
                 f"Rule version {version.get('version_id')}: missing {sorted(missing)}, unknown {sorted(unknown)}."
             )
         if version["version_id"] in seen:
-            raise RuleError(f"Duplicate rule version_id '{version['version_id']}'.")
+            raise RuleError(f"Two rule files share the version_id '{version['version_id']}'.")
         seen.add(version["version_id"])
         for step in STEPS:
             rule, params = _step_rows(version, step)
@@ -123,16 +123,16 @@ def load_rules(rules_dir: str | Path) -> RuleSet:
     """Every ``*.yaml`` / ``*.yml`` file of a folder, one rule version per file."""
     folder = Path(rules_dir)
     if not folder.is_dir():
-        raise RuleError(f"Rules directory not found: {folder}")
+        raise RuleError(f"No such rules folder: {folder}")
     files = sorted([*folder.glob("*.yaml"), *folder.glob("*.yml")])
     if not files:
-        raise RuleError(f"No rule files were found in {folder}")
+        raise RuleError(f"No rule files in {folder}")
     versions = []
     for file in files:
         try:
             content = yaml.safe_load(file.read_text(encoding="utf-8")) or {}
         except yaml.YAMLError as error:
-            raise RuleError(f"Could not parse rule file {file}: {error}") from error
+            raise RuleError(f"{file} is not valid YAML: {error}") from error
         if not isinstance(content, dict):
             raise RuleError(f"Rule file {file} must hold one mapping.")
         versions.append(content)

@@ -23,7 +23,7 @@ def read_table(spark: SparkSession, folder: str, table: str, fmt: str = "parquet
         # Version ids are text even where they look like numbers.
         frame = reader.load(path)
     except AnalysisException as error:
-        raise MissingTable(f"Expected table {table}: {path}") from error
+        raise MissingTable(f"Table {table} has not been written: {path}") from error
     if "rule_version" in frame.columns:
         frame = frame.withColumn("rule_version", F.col("rule_version").cast("string"))
     return frame

@@ -35,6 +35,7 @@ def _codes(spark, **changes):
         ({"amount_eur": "1.005"}, ["amount_eur:not_whole_cents"]),
         ({"amount_eur": "1e-3"}, ["amount_eur:not_whole_cents"]),
         ({"amount_eur": "0.0000000000000000000001"}, ["amount_eur:not_whole_cents", "amount_eur:out_of_range"]),
+        ({"amount_eur": "1e-30"}, ["amount_eur:not_whole_cents", "amount_eur:out_of_range"]),
         ({"amount_eur": "10000000000000000.00"}, ["amount_eur:not_whole_cents"]),
         ({"amount_eur": "0.00"}, ["amount_eur:out_of_range"]),
         ({"amount_eur": "-3"}, ["amount_eur:out_of_range"]),

@@ -49,7 +49,7 @@ def test_reconciliation_is_exact(gl, ends):
 
 def test_lost_changed_or_foreign_rows_are_noticed(gl, ends):
     lost = ends.where("NOT (gl_line_id = 'GL-000025')")
-    with pytest.raises(ReconciliationError, match="difference=1449.37"):
+    with pytest.raises(ReconciliationError, match="by 1449.37"):
         require_balanced(reconciliation(gl, lost, VERSIONS))
     with pytest.raises(ReconciliationError, match="GL-000025"):
         require_lines_balanced(line_reconciliation(gl, lost, VERSIONS))
@@ -124,7 +124,7 @@ def test_traces(edges):
     assert lin.trace_forward(edges, V1, keys).count() == 8 * (3 + 3)
     assert lin.trace_backward(edges, V2, bu_id="BU-CORP").agg(F.sum("allocated_amount_eur")).first()[0] == Decimal("4852.04")
     assert lin.trace_backward(edges, V1, bu_id="BU-CORP", app_id="APP-ERP").count() == 0
-    with pytest.raises(ValueError, match="bu_id or app_id"):
+    with pytest.raises(ValueError, match="bu_id"):
         lin.trace_backward(edges, V1)
 
 
@@ -137,10 +137,10 @@ def test_lineage_checks_pass_and_notice_tampering(ends, gl, edges):
     lost = edges.where("NOT (gl_line_id = 'GL-000009' AND bu_id = 'BU-CORP')")
     with pytest.raises(lin.LineageError, match="GL-000009"):
         lin.require_traceable(lost)
-    with pytest.raises(lin.LineageError, match="round-trip"):
+    with pytest.raises(lin.LineageError, match="disagree"):
         lin.require_round_trip(lin.round_trip(lost, totals))
     moved = edges.withColumn("prop_app_to_bu", F.when(F.col("bu_id") == "BU-CORP", F.lit(0).cast("decimal(18,12)")).otherwise(F.col("prop_app_to_bu")))
-    with pytest.raises(lin.LineageError, match="drift too large"):
+    with pytest.raises(lin.LineageError, match="drift"):
         lin.require_traceable(moved)
 
 

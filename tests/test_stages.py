@@ -110,7 +110,7 @@ def test_conflicting_dimension_writes_no_silver(spark, tmp_path):
 def test_header_must_match_in_names_and_order(spark, tmp_path):
     path = tmp_path / "business_units.csv"
     path.write_text("bu_name,bu_id\nCorp,BU-CORP\n")
-    with pytest.raises(HeaderError, match="header mismatch"):
+    with pytest.raises(HeaderError, match="has the header"):
         check_header(spark, str(path), "business_units")
     path.write_text("")
     with pytest.raises(HeaderError, match="empty"):
@@ -149,7 +149,7 @@ def test_stage_selection():
     assert build.stages_to_run(None) == list(build.STAGES)
     assert build.stages_to_run("silver") == ["bronze", "silver"]
     assert build.stages_to_run("lineage") == ["lineage"]
-    with pytest.raises(ValueError, match="Unknown stage"):
+    with pytest.raises(ValueError, match="no stage"):
         build.stages_to_run("synth")
 
 
