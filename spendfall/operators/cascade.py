@@ -147,8 +147,10 @@ def _expand_rows(flows: DataFrame, outcomes: DataFrame, flow_key: list[str]) ->
     """Shuffled split for tables too wide to broadcast: salted join, then a window per flow.
 
     Sources are hot by nature (few towers, many ledger lines), hence the salt; each
-    window holds the targets of one flow.
+    window holds the targets of one flow. The flows are stored first: they are read
+    twice, to count the hot sources and to be joined.
     """
+    flows = materialize(flows)
     joined = salted_join(
         flows,
         outcomes.drop("step").withColumnRenamed("reason_code", "found_reason"),
@@ -215,6 +217,10 @@ def _per_version(flows: DataFrame, now: dict[str, str], after: dict[str, str]) -
     parts = {name: sorted({after[v] for v in now if now[v] == name}) for name in set(now.values())}
     if all(names == [name] for name, names in parts.items()):
         return flows
+    if len(parts) == 1:
+        kept = [c for c in flows.columns if c != "rule_version"]
+        (names,) = parts.values()
+        return flows.select(*kept, F.explode(F.array(*map(F.lit, names))).alias("rule_version"))
     # One row per version: as small as the rule folder.
     pairs = [(name, finer) for name, names in sorted(parts.items()) for finer in names]
     finer = flows.sparkSession.createDataFrame(pairs, "rule_version string, finer_version string")

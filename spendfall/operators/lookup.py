@@ -35,7 +35,7 @@ def hot_keys(frame: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
     ``parts`` rows whatever the input, and may always be broadcast.
     """
     counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    total = frame.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("key_rows")).scalar()
     return counts.where(F.col("key_rows") * parts > total).select(
         *keys, F.ceil(F.col("key_rows") * parts / total).cast("int").alias("slices")
     )
