@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendfall.llm.line_dedup import line_dedup
 from spendfall.llm.near_duplicates import near_duplicates
 from spendfall.llm.toxicity import fit, score
 
@@ -26,6 +27,12 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents less passages of 50 words or more that stand in an earlier one, or further up."""
+    cleaned = line_dedup(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_deleted", "runs", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that share 85 % of their three-word shingles."""
     return near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
@@ -34,6 +41,7 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op7_line_dedup": op7_line_dedup,
         "op9_near_duplicates": op9_near_duplicates,
     }
 

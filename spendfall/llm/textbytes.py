@@ -180,3 +180,11 @@ def distinct(values: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def list_column(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     """An Arrow list column from flat values and the length of each list."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values))
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of values, from the positions where they start and end."""
+    n = len(values)
+    prefix = np.zeros(n + 1, U64)
+    np.cumsum(values * _power("up", n), out=prefix[1:])
+    return mix((prefix[ends] - prefix[starts]) * _power("down", n + 1)[starts] + (ends - starts).astype(U64))
