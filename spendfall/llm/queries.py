@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from spendfall.llm.line_dedup import line_dedup
 from spendfall.llm.near_duplicates import near_duplicates
+from spendfall.llm.packing import pack
+from spendfall.llm.quality_rules import quality_rules
 from spendfall.llm.toxicity import fit, score
 
 #: Rows that nothing is learned from.
@@ -27,6 +29,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and the verdict of the distances to each language's histograms."""
+    return quality_rules(_table(spark, folder, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents less passages of 50 words or more that stand in an earlier one, or further up."""
     cleaned = line_dedup(_table(spark, folder, "documents").select("doc_id", "text"))
@@ -38,11 +45,18 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of every document placed in a training sequence."""
+    return pack(_table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
         "op9_near_duplicates": op9_near_duplicates,
+        "op10_packing": op10_packing,
     }
 
 
