@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendfall.llm.byte_bpe import Coder, decode, encode
 from spendfall.llm.line_dedup import line_dedup
 from spendfall.llm.near_duplicates import near_duplicates
 from spendfall.llm.packing import pack
@@ -40,6 +41,20 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_deleted", "runs", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text and the bytes they decode to."""
+    import public_tokenizers
+
+    coder = Coder.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = encode(_table(spark, folder, "documents").select("doc_id", "text"), coder)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids"), coder), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that share 85 % of their three-word shingles."""
     return near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
@@ -55,6 +70,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
+        "op8_byte_bpe": op8_byte_bpe,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_packing": op10_packing,
     }
