@@ -9,7 +9,9 @@ rank can lower any of its minima, after a few ranks for all but short texts.
 Texts with equal sets are one node. Nodes that share a band meet in a bucket, but no
 bucket is expanded into pairs: its best connected member is compared with the others on
 the full sets, and what is then still apart is compared with more members in later rounds,
-until all members of every bucket are either in one group or compared one by one.
+until all members of every bucket are either in one group or compared one by one. Texts
+with too many shingles that no other candidate has are left out before, as nothing can be
+linked with them; they are most of what would be compared in vain.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendfall.llm.components import components
-from spendfall.llm.store import dropped, stored
+from spendfall.llm.store import dropped, small_batches, stored
 from spendfall.llm.textbytes import BASE, U64, Texts, distinct, list_column, mix, shingles, slices
 
 GOLDEN = 0x9E3779B97F4A7C15
+#: A power of two.
+PARTS = 32
 
 
 def super_minhash(values: np.ndarray, of: np.ndarray, n: int, places: int = 128) -> np.ndarray:
@@ -101,9 +105,48 @@ def shingle_sets(docs: DataFrame, id_col: str, text: str, width: int) -> DataFra
     return docs.select(id_col, text).mapInArrow(run, "node long, shingles array<long>")
 
 
+def _plausible(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, reach, parts, shingles) of the sets that can have a link at all.
+
+    A set that shares ``percent`` of a union has so much of itself in common with one other
+    set; one with more shingles of its own than the rest is linked with nothing. ``parts``
+    counts the shingles that other candidates have too, by a part of their hash: two sets
+    share no more than the sum of the smaller counts of each part.
+    """
+    single = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    own = single.groupBy("node").agg(F.collect_list("shingle").alias("own"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for values, alone in zip(batch.column("shingles"), batch.column("own"), strict=True):
+                values = np.asarray(values.values)
+                if alone.is_valid:
+                    values = np.setdiff1d(values, np.asarray(alone.values), assume_unique=True)
+                counts.append(np.bincount(values & (PARTS - 1), minlength=PARTS))
+            parts = np.array(counts, np.int32).reshape(-1, PARTS)
+            reach = parts.sum(1, dtype=np.int64) * (100 + percent)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(reach), list_column(parts.ravel(), np.full(len(parts), PARTS)), batch.column("shingles")], names=["node", "reach", "parts", "shingles"])
+
+    found = sets.join(own, "node", "left").select("node", "shingles", "own").mapInArrow(run, "node long, reach long, parts array<int>, shingles array<long>")
+    return found.where(f"100L * reach >= {percent * (100 + percent)}L * size(shingles)")
+
+
+def _apart(members: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets with two groups or more, less those that no size in the bucket lets have a link.
+
+    Two sets of n and m shingles that share i have the similarity i / (n + m - i), and
+    ``reach`` is (100 + percent) times the most that a set can share.
+    """
+    least = members.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+    able = members.join(least, "bucket").where(f"reach >= {percent}L * (n_shingles + least)").drop("least")
+    several = able.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
+    return able.join(several, "bucket", "left_semi")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (u, v) whose sets share ``percent`` of their union or more."""
-    both = pairs.join(sets.toDF("u", "left"), "u").join(sets.toDF("v", "right"), "v")
+    both = pairs.join(sets.selectExpr("node as u", "shingles as left"), "u").join(sets.selectExpr("node as v", "shingles as right"), "v")
     common = both.select("u", "v", F.size(F.array_intersect("left", "right")).alias("same"), (F.size("left") + F.size("right")).alias("total"))
     return common.where(f"100L * same >= {percent}L * (total - same)").select("u", "v")
 
@@ -127,6 +170,7 @@ def near_duplicates(
     columns of ``docs`` are not looked at. Ids are integers.
     With 32 bands of 4 places a pair at 0.8 is missed once in 10^7 times, at 0.85 once in 10^10.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(id_col, text)
     marked = stored(signatures(docs, id_col, text, width, places, rows), "signatures")
     some = marked.where("id is not null and n_shingles > 0")
@@ -136,38 +180,42 @@ def near_duplicates(
     shared = places_of.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(places_of.join(shared, "bucket"), "buckets")
     dropped(places_of)
+    sets = stored(shingle_sets(docs.join(members.select(F.col("node").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), id_col, text, width), "sets")
+    plausible = stored(_plausible(sets, percent), "plausible")
+    dropped(sets)
     # the original of a family of edited copies shares most bands with most of them
+    members = members.join(plausible.select("node", "reach", "parts"), "node")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    sets = stored(shingle_sets(docs.join(degree.select(F.col("node").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), id_col, text, width), "sets")
-    open_ = stored(members.join(degree, "node").select("bucket", "node", "n_shingles", "degree", F.col("node").alias("component")), "open")
-    dropped(members)
+    open_ = stored(_apart(members.join(degree, "node").select("bucket", "node", "n_shingles", "reach", "parts", "degree", F.col("node").alias("component")), percent), "open")
     labels = None
     centres = 1
     while not open_.isEmpty():
         if centres == 1:
-            first = open_.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("back"), "n_shingles", "component")).alias("c"))
-            middle = first.select("bucket", (-F.col("c.back")).alias("u"), F.col("c.n_shingles").alias("size"), F.col("c.component").alias("of"))
+            first = open_.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("back"), "n_shingles", "reach", "parts", "component")).alias("c"))
+            middle = first.select("bucket", (-F.col("c.back")).alias("u"), F.col("c.n_shingles").alias("size"), F.col("c.reach").alias("most"), F.col("c.parts").alias("shared"), F.col("c.component").alias("of"))
         else:
             ranked = open_.select("*", F.expr("row_number() over (partition by bucket order by degree desc, node)").alias("nth")).where(f"nth <= {centres}")
-            middle = ranked.select("bucket", F.col("node").alias("u"), F.col("n_shingles").alias("size"), F.col("component").alias("of"))
+            middle = ranked.select("bucket", F.col("node").alias("u"), F.col("n_shingles").alias("size"), F.col("reach").alias("most"), F.col("parts").alias("shared"), F.col("component").alias("of"))
         middle = stored(middle, "centres")
         pairs = (
             open_.join(middle, "bucket")
-            .where(f"component <> of and 100L * least(n_shingles, size) >= {percent}L * greatest(n_shingles, size)")
+            .where(
+                f"component <> of and least(reach, most) >= {percent}L * (n_shingles + size)"
+                f" and aggregate(zip_with(parts, shared, (a, b) -> least(a, b)), 0L, (s, v) -> s + v) * {100 + percent}L >= {percent}L * (n_shingles + size)"
+            )
             .select("u", F.col("node").alias("v"))
             .distinct()
         )
-        links = _linked(pairs, sets, percent)
+        links = _linked(pairs, plausible, percent)
         if labels is not None:
             links = links.union(labels.toDF("u", "v"))
         labels = stored(components(links), "labels")
         done = middle.select("bucket", F.col("u").alias("node"))
         rest = open_.drop("component").join(done, ["bucket", "node"], "left_anti").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = rest.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
-        then = stored(rest.join(apart, "bucket", "left_semi"), "open")
+        then = stored(_apart(rest, percent), "open")
         dropped(open_, middle)
         open_, centres = then, centres * 8
-    dropped(sets, open_)
+    dropped(plausible, open_)
     groups = classes.withColumn("component_id", F.col("node"))
     if labels is not None:
         groups = classes.join(labels, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
