@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendfall.llm.store import small_batches
+
 #: Fixed value: white space as Unicode defines it, which the splitting pattern means by \\s.
 WHITE = r"\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: More than any id.
@@ -239,6 +241,7 @@ def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -
     No special tokens; a control string in a text is ordinary text. An existing column
     ``to`` is replaced, the others stay.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(to)
     names, pieces = docs.columns, "".join(["_pieces", *docs.columns])
     known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, coder, text))  # at most ``frequent`` short words

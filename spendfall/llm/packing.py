@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendfall.llm.store import small_batches
 from spendfall.llm.textbytes import Texts, slices
 
 
@@ -83,6 +84,7 @@ def pack_shard(sizes: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, n
 
 def pieces(docs: DataFrame, id_col: str, text: str, largest: int) -> DataFrame:
     """(id, piece, start, size, mark): word ranges of at most ``largest`` words that make up each text."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

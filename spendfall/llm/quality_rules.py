@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendfall.llm.store import stored
+from spendfall.llm.store import small_batches, stored
 from spendfall.llm.textbytes import Texts, run_hashes, slices
 
 #: Fixed values of the base rules.
@@ -190,6 +190,7 @@ def _summed(languages: list[np.ndarray], keys: list[np.ndarray], values: list[np
 
 def histogram_sums(docs: DataFrame, text: str, lang: str, limits: Limits) -> DataFrame:
     """(lang, kind, key, value): sums over all documents of ``least_words`` words or more."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
@@ -280,6 +281,7 @@ def judge(docs: DataFrame, known: dict[str, Reference], text: str = "text", lang
     ``least_words`` words or there is no reference; they then reject nothing. Columns of
     ``docs`` named like the new ones are replaced, all others stay.
     """
+    small_batches(docs.sparkSession)
     limits = limits or Limits()
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     docs = docs.drop(*counts, "base_failed", "class_distance", "word_distance", "kept")

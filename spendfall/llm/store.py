@@ -9,6 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from spendfall.session import scratch_dir
 
 
+#: Rows that are handed to Python at once; texts can be long and executors small.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand rows to Python in small batches, unless the session already says so."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` as Parquet to the shared scratch folder and return it read from there."""
     spark = frame.sparkSession

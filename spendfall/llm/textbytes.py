@@ -24,7 +24,7 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 #: Batches are worked through in slices of about so many bytes; one longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendfall.llm.store import small_batches
 from spendfall.llm.textbytes import Texts, slices
 
 #: Windows gain so many bytes or more.
@@ -216,6 +217,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score")
 
     An existing column ``to`` is replaced; all other columns stay as they are.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(to)
     names = docs.columns
 
