@@ -48,7 +48,7 @@ class Coder:
     ranks: dict[bytes, int]
     pattern: str
     #: Words that are encoded beforehand, taken from about so many texts, and no longer than so many bytes.
-    frequent: int = 150_000
+    frequent: int = 60_000
     sampled_texts: int = 20_000
     longest: int = 64
     #: Rare words whose ids a task keeps for its next slice.
@@ -225,14 +225,14 @@ def split(text: Column, coder: Coder) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(coder.pattern)), F.lit(0))
 
 
-def frequent_words(docs: DataFrame, coder: Coder, text: str = "text") -> dict[str, list[int]]:
-    """Ids of the most frequent words of about ``sampled_texts`` texts, at most ``frequent`` words."""
+def frequent_words(docs: DataFrame, coder: Coder, text: str = "text") -> pa.Table:
+    """(word, ids) of the most frequent words of about ``sampled_texts`` texts, at most ``frequent`` words."""
     n = docs.count()
     sample = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < max(1, (1 << 20) * coder.sampled_texts // max(n, 1)))
     words = sample.select(F.explode(split(F.col(text), coder)).alias("word")).where(f"octet_length(word) <= {coder.longest}")
     top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(coder.frequent)
     spread = top.select("word").repartition(docs.sparkSession.sparkContext.defaultParallelism * 4)
-    return {row["word"]: row["ids"] for row in spread.select("word", fold(F.col("word"), coder).alias("ids")).collect()}
+    return spread.select("word", fold(F.col("word"), coder).alias("ids")).toArrow()
 
 
 def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -> DataFrame:
@@ -243,15 +243,15 @@ def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -
     """
     small_batches(docs.sparkSession)
     docs = docs.drop(to)
-    names, pieces = docs.columns, "".join(["_pieces", *docs.columns])
+    names, pieces, remembered = docs.columns, "".join(["_pieces", *docs.columns]), coder.remembered
     known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, coder, text))  # at most ``frequent`` short words
     tables = docs.sparkSession.sparkContext.broadcast(Merger(coder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fixed, merger = known.value, tables.value
-        code = dict(zip(fixed, range(len(fixed)), strict=True))
-        flat = [np.fromiter((x for ids in fixed.values() for x in ids), np.int32)]
-        size = np.fromiter(map(len, fixed.values()), np.int64, len(fixed))
+        code = {word: k for k, word in enumerate(fixed["word"].to_pylist())}
+        ids = fixed["ids"].combine_chunks()
+        flat, size = [np.asarray(ids.flatten(), np.int32)], np.diff(np.asarray(ids.offsets)).astype(np.int64)
         base = len(code)
         for batch in batches:
             column = batch.column(len(names))
@@ -260,13 +260,14 @@ def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -
             start = 0
             while start < len(column):
                 stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + 400_000, "right")) - 1)
-                words = column.values.slice(offsets[start], offsets[stop] - offsets[start]).to_pylist()
-                new = [word for word in dict.fromkeys(words) if word not in code]
-                if len(code) - base + len(new) > coder.remembered:
+                coded = column.values.slice(offsets[start], offsets[stop] - offsets[start]).dictionary_encode()
+                words = coded.dictionary.to_pylist()
+                new = [word for word in words if word not in code]
+                if len(code) - base + len(new) > remembered:
                     for word in list(code)[base:]:
                         del code[word]
                     flat, size = [np.concatenate(flat)[: size[:base].sum()]], size[:base]
-                    new = [word for word in dict.fromkeys(words) if word not in code]
+                    new = [word for word in words if word not in code]
                 if new:
                     found = merger.words([word.encode() for word in new])
                     code.update(zip(new, range(len(code), len(code) + len(new)), strict=True))
@@ -274,7 +275,7 @@ def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -
                     size = np.append(size, np.fromiter(map(len, found), np.int64, len(found)))
                 flat = [np.concatenate(flat)]
                 at = np.cumsum(size) - size
-                codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+                codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
                 counts = size[codes]
                 ends = np.cumsum(counts)
                 ids = flat[0][np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(at[codes], counts)]
