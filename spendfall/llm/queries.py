@@ -8,13 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendfall.llm.byte_bpe import Coder, decode, encode
+from spendfall.llm.chat_format import format_chat, read_back
+from spendfall.llm.exact_topk import exact_topk, scaled
+from spendfall.llm.license_scan import license_scan
 from spendfall.llm.line_dedup import line_dedup
 from spendfall.llm.near_duplicates import near_duplicates
+from spendfall.llm.oracle import ORACLE
 from spendfall.llm.packing import pack
 from spendfall.llm.quality_rules import quality_rules
 from spendfall.llm.toxicity import fit, score
-
-#: Rows that nothing is learned from.
+from spendfall.llm.url_filter import Rule, judge_urls, page_edges
+
+#: The rules for hosts and paths, and the rows that nothing is learned from.
+RULES = [
+    Rule("org", "/", "allow"),
+    Rule("example.org", "/es/", "block"),
+    Rule("example.org", "/en/1", "block"),
+    Rule("com", "/fr/", "allow"),
+    Rule("com", "/de/", "block"),
+]
 HELD_OUT = "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2"
 
 
@@ -30,6 +42,38 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best other vectors of every fiftieth vector."""
+    vectors = _table(spark, folder, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
+    return exact_topk(vectors.where("vec_id % 50 = 0"), vectors, "vec_id", "vector", 5)
+
+
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences that whole documents, or single lines of them, are."""
+    found = license_scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text_digest", "license", F.array_join("line_licenses", ",").alias("line_licenses"))
+
+
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict for every page's URL."""
+    pages = _table(spark, folder, "pages")
+    return judge_urls(pages.select("page_id", "url"), page_edges(pages), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _coder() -> Coder:
+    import public_tokenizers
+
+    return Coder.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of all conversations, and one whose texts are control strings, read back from the formatted turns."""
+    coder = _coder()
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], turns.schema)
+    return read_back(format_chat(turns.union(extra), coder), coder)
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and the verdict of the distances to each language's histograms."""
     return quality_rules(_table(spark, folder, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
@@ -43,9 +87,7 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text and the bytes they decode to."""
-    import public_tokenizers
-
-    coder = Coder.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coder = _coder()
     coded = encode(_table(spark, folder, "documents").select("doc_id", "text"), coder)
     return coded.select(
         "doc_id",
@@ -68,6 +110,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_exact_topk": op2_exact_topk,
+        "op3_license_scan": op3_license_scan,
+        "op4_url_filter": op4_url_filter,
+        "op5_chat_format": op5_chat_format,
         "op6_quality_rules": op6_quality_rules,
         "op7_line_dedup": op7_line_dedup,
         "op8_byte_bpe": op8_byte_bpe,
@@ -77,4 +123,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
