@@ -46,17 +46,17 @@ from spendfall.sources.rule_files import RuleSet
 
 # Most targets of one source that are carried as an array next to a ledger row.
 ARRAY_TARGETS = 4096
-# Remainder and place share one bigint: remainder < 2^40, place < 2^22.
+# In the array form remainder and place share one bigint: remainder < 2^40, place < 2^22.
 _PLACES = 1 << 22
 
 
-
 @dataclass(frozen=True)
 class Splits:
     """Materialized split outcomes of all versions, and which join their size allows."""
 
     outcomes: DataFrame
-    as_arrays: bool
+    #: Steps whose splits are too large to be handed to every task; they are joined by a shuffle.
+    wide_steps: frozenset[str]
 
 
 def split_table(
@@ -81,13 +81,13 @@ def split_table(
 def measured(
     outcomes: DataFrame, *, array_targets: int = ARRAY_TARGETS, broadcast_bytes: int = BROADCAST_BYTES
 ) -> Splits:
-    """Measure stored outcomes in one small job: their bytes, and the widest source."""
+    """Measure stored outcomes in one small job: for every step their bytes and the widest source."""
     per_source = outcomes.groupBy("rule_version", "step", "from_id").agg(
         F.count(F.lit(1)).alias("targets"), F.sum(row_bytes(outcomes)).alias("bytes")
     )
-    widest, size = per_source.agg(F.max("targets"), F.sum("bytes")).first()
-    small = (widest or 0) <= array_targets and (size or 0) <= broadcast_bytes
-    return Splits(outcomes, small)
+    sizes = per_source.groupBy("step").agg(F.max("targets").alias("widest"), F.sum("bytes").alias("bytes")).collect()
+    widest = min(array_targets, _PLACES)
+    return Splits(outcomes, frozenset(row.step for row in sizes if row.widest > widest or row.bytes > broadcast_bytes))
 
 
 def _rank_key(cents: str, units: str, place: str) -> str:
@@ -166,7 +166,7 @@ def _expand_rows(flows: DataFrame, outcomes: DataFrame, flow_key: list[str]) ->
         "to_id",
         "share",
         "units",
-        f"row_number() OVER (PARTITION BY {flow} ORDER BY {_rank_key('cents', 'units', 'place')} DESC) AS position",
+        f"row_number() OVER (PARTITION BY {flow} ORDER BY {split_remainder('cents', 'units')} DESC, place) AS position",
         f"count(*) OVER (PARTITION BY {flow}) AS target_count",
         spare_cents("cents", f"sum({split_remainder('cents', 'units')}) OVER (PARTITION BY {flow})", "missing") + " AS spare",
     )
@@ -188,7 +188,7 @@ def distribute(flows: DataFrame, splits: Splits, step: str, flow_key: list[str])
     in ``found_reason`` (NULL if the source is not known at all).
     """
     outcomes = splits.outcomes.where(F.col("step") == step)
-    return _expand_arrays(flows, outcomes) if splits.as_arrays else _expand_rows(flows, outcomes, flow_key)
+    return _expand_rows(flows, outcomes, flow_key) if step in splits.wide_steps else _expand_arrays(flows, outcomes)
 
 
 def _hop(flows: DataFrame, splits: Splits, step: str, reached: str, share_name: str) -> DataFrame:

@@ -13,14 +13,12 @@ from spendfall.schemas import (
     STRATEGIES,
     WEIGHTED,
 )
+from spendfall.sources.rule_files import BASIS, PROPORTION_TOLERANCE, RuleViolation
 
-# How far declared proportions may be from adding up to one.
-PROPORTION_TOLERANCE = "0.000001"
-BASIS = "cost_center_mapping"
+__all__ = ["RuleViolation", "require_governed", "rule_coverage", "rule_diff", "rule_violations"]
 
-
-class RuleViolation(ValueError):
-    """A rule version breaks a governance check."""
+# Broken checks that an error names; the total is always told.
+NAMED = 20
 
 
 def _found(frame: DataFrame, code: str) -> DataFrame:
@@ -47,7 +45,7 @@ def rule_violations(rules: DataFrame, params: DataFrame, usage_metrics: DataFram
         F.min("value").alias("smallest"),
         F.sum("value").alias("total"),
     )
-    off_by = F.abs(F.col("total") - F.lit(1)) > F.lit(PROPORTION_TOLERANCE).cast("decimal(7,6)")
+    off_by = F.abs(F.col("total") - F.lit(1)) > F.lit(str(PROPORTION_TOLERANCE)).cast("decimal(7,6)")
     known_metrics = usage_metrics.select("step", "metric_name").distinct()
     parts = [
         _found(complete.where(F.col("known") != len(STEPS)).withColumn("step", no_step), "steps_incomplete"),
@@ -82,9 +80,11 @@ def rule_violations(rules: DataFrame, params: DataFrame, usage_metrics: DataFram
 
 def require_governed(found: DataFrame) -> None:
     """Raise if any check is broken. The rule tables hold a few rows per version."""
-    rows = found.orderBy("version_id", "step", "violation").limit(20).collect()
-    if rows:
+    total = found.count()
+    if total:
+        rows = found.orderBy("version_id", "step", "violation").limit(NAMED).collect()
         lines = [f"- {row.version_id} {row.step or ''}: {row.violation}" for row in rows]
+        lines += [f"and {total - NAMED} more"] * (total > NAMED)
         raise RuleViolation("Rule versions break governance checks:\n" + "\n".join(lines))
 
 

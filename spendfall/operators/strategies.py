@@ -33,10 +33,6 @@ def _raw_signal() -> "F.Column":
     return (F.coalesce(F.col("signal"), F.lit(0)) * 100).cast("decimal(26,0)")
 
 
-def _raw_param() -> "F.Column":
-    return (F.col("value") * F.lit(UNITS_PER_ONE)).cast("decimal(26,0)")
-
-
 def usage_candidates(index: DataFrame, rules: RuleSet) -> DataFrame:
     """Raw weights at the two usage-driven steps, for every version in ``rules``.
 
@@ -64,7 +60,7 @@ def usage_candidates(index: DataFrame, rules: RuleSet) -> DataFrame:
         return from_usage
     params = F.broadcast(
         rules.params(spark).select(
-            F.col("version_id").alias("rule_version"), "step", F.col("target_id").alias("to_id"), _raw_param().alias("raw")
+            F.col("version_id").alias("rule_version"), "step", F.col("target_id").alias("to_id"), "raw"
         )
     )
     from_params = (
@@ -95,7 +91,7 @@ def fallback_candidates(towers: DataFrame, rules: RuleSet) -> DataFrame:
     params = F.broadcast(
         rules.params(spark)
         .where(F.col("step") == GL_TO_TOWER)
-        .select(F.col("version_id").alias("rule_version"), F.col("target_id").alias("to_id"), _raw_param().alias("param"))
+        .select(F.col("version_id").alias("rule_version"), F.col("target_id").alias("to_id"), F.col("raw").alias("param"))
     )
     tower_ids = towers.select(F.col("tower_id").alias("to_id"), F.lit(GL_TO_TOWER).alias("step")).distinct()
     spread = (

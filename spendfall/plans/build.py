@@ -29,7 +29,7 @@ from spendfall.operators.reconcile import (
 )
 from spendfall.operators.rule_checks import require_governed, rule_violations
 from spendfall.schemas import CONTRACTS, SILVER_TABLES
-from spendfall.session import materialize, scratch_dir
+from spendfall.session import discard, discard_materialized, materialize, scratch_dir
 from spendfall.sources.csv_exports import check_header, export_path, scan_raw
 from spendfall.sources.rule_files import RuleSet, load_rules
 from spendfall.sources.tables import read_table, read_tables, write_table
@@ -82,14 +82,19 @@ def allocate(spark: SparkSession, silver_dir: str, gold_dir: str, rules: RuleSet
     require_governed(rule_violations(rules.rules(spark), rules.params(spark), usage))
     splits = split_table(usage, silver["dim_resource_tower"], rules)
     folder = f"{scratch_dir(spark)}/ends-{uuid4().hex}"
-    run_cascade(gl, splits, rules).write.mode("overwrite").partitionBy("outcome").parquet(folder)
-    ends = spark.read.parquet(folder)
-    require_balanced(reconciliation(gl, ends, rules.versions))
-    require_lines_balanced(line_reconciliation(gl, ends, rules.versions))
-    return [
-        write_table(allocation(ends), gold_dir, "allocation"),
-        write_table(residual(ends), gold_dir, "residual"),
-    ]
+    frame = run_cascade(gl, splits, rules)
+    try:
+        frame.write.mode("overwrite").partitionBy("outcome").parquet(folder)
+        ends = spark.read.schema(frame.schema).parquet(folder)
+        require_balanced(reconciliation(gl, ends, rules.versions))
+        require_lines_balanced(line_reconciliation(gl, ends, rules.versions))
+        return [
+            write_table(allocation(ends), gold_dir, "allocation", versions=rules.versions),
+            write_table(residual(ends), gold_dir, "residual", versions=rules.versions),
+        ]
+    finally:
+        discard(spark, folder)
+        discard_materialized(spark)
 
 
 def _stored_ends(spark: SparkSession, gold_dir: str, versions: Sequence[str]) -> DataFrame:
@@ -105,10 +110,10 @@ def build_residual(spark: SparkSession, silver_dir: str, gold_dir: str, versions
     totals = reconciliation(gl, _stored_ends(spark, gold_dir, versions), versions)
     require_balanced(totals)
     stored = read_table(spark, gold_dir, "residual").where(F.col("rule_version").isin(*versions))
-    written = [write_table(rep.residual_detail(stored, gl, silver["dim_cost_center"]), gold_dir, "residual_detail")]
+    written = [write_table(rep.residual_detail(stored, gl, silver["dim_cost_center"]), gold_dir, "residual_detail", versions=versions)]
     detail = read_table(spark, gold_dir, "residual_detail").where(F.col("rule_version").isin(*versions))
-    written.append(write_table(rep.residual_report(detail, gl), gold_dir, "residual_report"))
-    written.append(write_table(totals, gold_dir, "reconciliation"))
+    written.append(write_table(rep.residual_report(detail, gl), gold_dir, "residual_report", versions=versions))
+    written.append(write_table(totals, gold_dir, "reconciliation", versions=versions))
     return written
 
 
@@ -126,7 +131,7 @@ def build_lineage(
     silver = read_tables(spark, silver_dir, ["fact_gl_cost", "dim_cost_center"])
     gl = silver["fact_gl_cost"]
     ends = _stored_ends(spark, gold_dir, versions)
-    path = write_table(lin.lineage(ends, gl, silver["dim_cost_center"]), gold_dir, "lineage")
+    path = write_table(lin.lineage(ends, gl, silver["dim_cost_center"]), gold_dir, "lineage", versions=versions)
     edges = read_table(spark, gold_dir, "lineage").where(F.col("rule_version").isin(*versions))
     lin.require_traceable(edges)
     lin.require_round_trip(lin.round_trip(edges, reconciliation(gl, ends, versions)))
@@ -168,7 +173,7 @@ def build_reports(
         "report_driver_comparison": rep.driver_comparison(allocated, units, first, second),
         "report_driver_comparison_by_app": rep.driver_comparison_by_app(allocated, apps, units, first, second),
     }
-    return [write_table(frame, gold_dir, table) for table, frame in tables.items()]
+    return [write_table(frame, gold_dir, table, versions=compared.versions) for table, frame in tables.items()]
 
 
 def stages_to_run(target: str | None) -> list[str]:

@@ -15,10 +15,10 @@ from spendfall.functions.money import from_cents, to_cents
 from spendfall.operators import cascade as cas
 from spendfall.operators import contracts, lineage, quality, reconcile, reports, rule_checks, strategies, usage
 from spendfall.operators.conform import Conformed, conform
-from spendfall.schemas import CONTRACTS, GL_TO_TOWER, MONEY
+from spendfall.schemas import CONTRACTS, GL_TO_TOWER, MONEY, STEPS
 from spendfall.session import scratch_dir
 from spendfall.sources import csv_exports, star, tables
-from spendfall.sources.rule_files import RuleSet, load_rules, rule_set
+from spendfall.sources.rule_files import RuleSet, load_rules, raw_rule_set, rule_set
 
 RULES_DIR = Path(__file__).resolve().parents[2] / "rules"
 V1, V2 = "v1_units", "v2_lines"
@@ -346,7 +346,7 @@ def cascade_with_fallback(m: Model) -> DataFrame:
 
 def cascade_shuffled(m: Model) -> DataFrame:
     """The same cascade by salted joins and windows, as used when splits are too large to broadcast."""
-    splits = replace(m.splits(m.rules), as_arrays=False)
+    splits = replace(m.splits(m.rules), wide_steps=frozenset(STEPS))
     return cas.allocation(cas.run_cascade(m.gl, splits, m.rules))
 
 
@@ -397,7 +397,7 @@ MODEL_QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "write_table": write_table,
     "rules_table": lambda m: rule_checks.rule_coverage(m.rules.rules(m.spark), m.index),
     "rule_violations": lambda m: rule_checks.rule_violations(
-        rule_set(FAULTY_RULES).rules(m.spark), rule_set(FAULTY_RULES).params(m.spark), m.silver["fact_usage_metric"]
+        raw_rule_set(FAULTY_RULES).rules(m.spark), raw_rule_set(FAULTY_RULES).params(m.spark), m.silver["fact_usage_metric"]
     ),
     "contract_violations": contract_violations,
     "conform_dims": conform_dims,

@@ -198,5 +198,7 @@ RULE_PARAMS_SCHEMA = _struct(
     ("version_id", T.StringType()),
     ("step", T.StringType()),
     ("target_id", T.StringType()),
-    ("value", SHARE),
+    ("value", T.DecimalType(38, 18)),
+    # The value as a whole number, on one scale for all targets of a version and step.
+    ("raw", T.DecimalType(26, 0)),
 )

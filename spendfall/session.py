@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,5 +46,26 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def materialize(frame: DataFrame) -> DataFrame:
     """Write ``frame`` once to the shared scratch folder and read it from there afterwards."""
-    scratch_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    spark = frame.sparkSession
+    path = f"{scratch_dir(spark)}/table-{uuid4().hex}"
+    frame.write.parquet(path)
+    _made.append(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+#: Folders that this process has made in the scratch folder.
+_made: list[str] = []
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, through the file system they are on."""
+    jvm = spark._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard_materialized(spark: SparkSession) -> None:
+    """Delete all that ``materialize`` has written; what was read from it must be finished."""
+    discard(spark, *_made)
+    _made.clear()

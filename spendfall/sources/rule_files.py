@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
 from pathlib import Path
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
-from spendfall.schemas import GL_TO_TOWER, RULE_PARAMS_SCHEMA, RULES_SCHEMA, STEPS
+from spendfall.schemas import (
+    CONSUMPTION,
+    GL_TO_TOWER,
+    MANUAL_OVERRIDE,
+    RULE_PARAMS_SCHEMA,
+    RULES_SCHEMA,
+    STEPS,
+    STRATEGIES,
+    WEIGHTED,
+)
 
 _PARAM_FIELDS = {"weighted": "weights", "manual_override": "proportions"}
 _VERSION_FIELDS = {"version_id", "description", "created", *STEPS}
@@ -20,6 +30,18 @@ class RuleError(ValueError):
     """A rule file cannot be read, or a version is missing or given twice."""
 
 
+class RuleViolation(ValueError):
+    """A rule version breaks a governance check."""
+
+
+# How far declared proportions may be from adding up to one, and their finest unit.
+PROPORTION_TOLERANCE = Decimal("0.000001")
+PROPORTION_DIGITS = 12
+# Whole numbers that the weights of one step may add up to on their common scale.
+LARGEST_TOTAL = Decimal(10) ** 25
+BASIS = "cost_center_mapping"
+
+
 @dataclass(frozen=True)
 class RuleSet:
     """Rows of the ``rules`` and ``rule_params`` tables: a handful per rule file."""
@@ -96,12 +118,41 @@ def _step_rows(version: dict, step: str) -> tuple[tuple, list[tuple]]:
     params = (rule.get(param_field) or {}) if param_field else {}
     return (
         (*head, basis, strategy, rule.get("metric_name")),
-        [(version["version_id"], step, str(target), Decimal(str(value))) for target, value in params.items()],
+        _param_rows(version["version_id"], step, strategy, params),
     )
 
 
-def rule_set(versions: Iterable[dict]) -> RuleSet:
-    """Build the rule tables from version mappings, as found in the rule files."""
+def _number(value: object, where: str) -> Decimal:
+    try:
+        number = Decimal(str(value))
+    except InvalidOperation as error:
+        raise RuleError(f"{where}: {value!r} is not a number.") from error
+    if not number.is_finite():
+        raise RuleError(f"{where}: {value!r} is not a number.")
+    return number
+
+
+def _param_rows(version_id: str, step: str, strategy: str, params: dict) -> list[tuple]:
+    """Declared values, exact, with the whole numbers that stand for them.
+
+    Weights only count relative to each other: they are multiplied by the power of ten
+    that makes all of a step whole. Proportions are counted in units of 10^-12.
+    """
+    where = f"{version_id}: {step}"
+    values = {str(target): _number(value, where) for target, value in params.items()}
+    digits = max([0, *(-value.normalize().as_tuple().exponent for value in values.values())])
+    if strategy == MANUAL_OVERRIDE:
+        if digits > PROPORTION_DIGITS:
+            raise RuleError(f"{where}: a proportion has more than {PROPORTION_DIGITS} decimals.")
+        digits = PROPORTION_DIGITS
+    raw = {target: int(value.scaleb(digits)) for target, value in values.items()}
+    if sum(abs(x) for x in raw.values()) > LARGEST_TOTAL or digits > 18:
+        raise RuleError(f"{where}: the values span too many digits to be split exactly.")
+    return [(version_id, step, target, value, Decimal(raw[target])) for target, value in values.items()]
+
+
+def raw_rule_set(versions: Iterable[dict]) -> RuleSet:
+    """The rule tables of version mappings as they are, for reports on rules that may be broken."""
     rule_rows, param_rows, seen = [], [], set()
     for version in versions:
         missing, unknown = _VERSION_FIELDS - set(version), set(version) - _VERSION_FIELDS
@@ -119,6 +170,43 @@ def rule_set(versions: Iterable[dict]) -> RuleSet:
     return RuleSet(tuple(rule_rows), tuple(param_rows))
 
 
+def broken_rules(rules: RuleSet) -> list[tuple[str, str | None, str]]:
+    """(version, step, code) of every check that needs no table."""
+    found = []
+    for version, description, created, step, basis, strategy, metric in rules.rule_rows:
+        values = [row[3] for row in rules.param_rows if row[:2] == (version, step)]
+        declared = strategy in (WEIGHTED, MANUAL_OVERRIDE)
+        split = step != GL_TO_TOWER
+        heads = {
+            "version_id_blank": not str(version or "").strip(),
+            "description_blank": not str(description or "").strip(),
+            "created_not_a_date": not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", created or ""),
+        }
+        steps = {
+            "strategy_unknown": strategy not in STRATEGIES if strategy is not None else split,
+            "basis_unknown": not split and basis != BASIS,
+            "fallback_cannot_be_consumption": not split and strategy == CONSUMPTION,
+            "values_empty": declared and not values,
+            "values_negative": declared and any(value < 0 for value in values),
+            "proportions_do_not_sum_to_one": strategy == MANUAL_OVERRIDE and bool(values) and abs(sum(values) - 1) > PROPORTION_TOLERANCE,
+        }
+        found += [(version, None, code) for code, broken in heads.items() if broken and step == STEPS[0]]
+        found += [(version, step, code) for code, broken in steps.items() if broken]
+    return found
+
+
+def rule_set(versions: Iterable[dict]) -> RuleSet:
+    """Build the rule tables from version mappings, as found in the rule files.
+
+    Rules that would lose or create money, or that nobody can apply, are refused here, so
+    that no path can use them; only whether metrics exist has to wait for the usage table.
+    """
+    rules = raw_rule_set(versions)
+    if broken := broken_rules(rules):
+        raise RuleViolation("Rule versions break governance checks:\n" + "\n".join(f"- {v} {s or ''}: {code}" for v, s, code in broken))
+    return rules
+
+
 def load_rules(rules_dir: str | Path) -> RuleSet:
     """Every ``*.yaml`` / ``*.yml`` file of a folder, one rule version per file."""
     folder = Path(rules_dir)

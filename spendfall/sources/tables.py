@@ -2,28 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendfall.schemas import PARTITIONED_BY_VERSION, SORT_KEYS
 
+# The schema a table was written with, beside its files; Spark passes over names like this.
+SCHEMA_FILE = "_table_schema.json"
+
 
 class MissingTable(FileNotFoundError):
     """A table that a stage needs has not been written yet."""
 
 
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    files, where = _files(spark, f"{path}/{SCHEMA_FILE}")
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    files, where = _files(spark, f"{path}/{SCHEMA_FILE}")
+    stream = files.create(where, True)
+    try:
+        stream.write(bytearray(schema.json(), "utf-8"))
+    finally:
+        stream.close()
+
+
 def read_table(spark: SparkSession, folder: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """Lazy scan of one stored table."""
+    """Lazy scan of one stored table, with the types it was written with.
+
+    So version ids stay text even where they look like numbers, and a table without rows
+    is a table.
+    """
     path = f"{folder}/{table}"
-    reader = spark.read.format(fmt)
+    schema = _stored_schema(spark, path)
     try:
-        # Version ids are text even where they look like numbers.
-        frame = reader.load(path)
+        if schema is not None:
+            return spark.read.format(fmt).schema(schema).load(path).select(*schema.names)
+        frame = spark.read.format(fmt).load(path)
     except AnalysisException as error:
-        raise MissingTable(f"Table {table} has not been written: {path}") from error
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingTable(f"Table {table} has not been written: {path}") from error
+        raise
     if "rule_version" in frame.columns:
         frame = frame.withColumn("rule_version", F.col("rule_version").cast("string"))
     return frame
@@ -33,15 +71,29 @@ def read_tables(spark: SparkSession, folder: str, tables: Iterable[str], fmt: st
     return {table: read_table(spark, folder, table, fmt) for table in tables}
 
 
-def write_table(frame: DataFrame, folder: str, table: str, fmt: str = "parquet") -> str:
+def _version_files(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Names of the files in each version's folder."""
+    files, where = _files(spark, path)
+    if not files.exists(where):
+        return {}
+    folders = [x.getPath() for x in files.listStatus(where) if x.isDirectory() and x.getPath().getName().startswith("rule_version=")]
+    return {folder.getName(): {x.getPath().getName() for x in files.listStatus(folder)} for folder in folders}
+
+
+def write_table(
+    frame: DataFrame, folder: str, table: str, fmt: str = "parquet", versions: Sequence[str] | None = None
+) -> str:
     """Overwrite a table, rows sorted inside each file.
 
-    Tables with a rule version are split into one folder per version, and only the
-    versions present in ``frame`` are replaced.
+    Tables with a rule version are split into one folder per version. Only the versions
+    present in ``frame`` are replaced; of those in ``versions`` that have no rows any
+    more, the old rows go too.
     """
+    spark = frame.sparkSession
     path = f"{folder}/{table}"
     keys = [key for key in SORT_KEYS[table] if key != "rule_version"]
     if table in PARTITIONED_BY_VERSION:
+        before = _version_files(spark, path)
         (
             frame.sortWithinPartitions("rule_version", *keys)
             .write.format(fmt)
@@ -50,6 +102,14 @@ def write_table(frame: DataFrame, folder: str, table: str, fmt: str = "parquet")
             .partitionBy("rule_version")
             .save(path)
         )
+        after = _version_files(spark, path)
+        for version in versions or ():
+            name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("rule_version", version)
+            # a folder that was written has files of this job only
+            if name in before and after.get(name) == before[name]:
+                files, where = _files(spark, f"{path}/{name}")
+                files.delete(where, True)
     else:
         frame.sortWithinPartitions(*keys).write.format(fmt).mode("overwrite").save(path)
+    _keep_schema(spark, path, frame.schema)
     return path

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
+import csv
 import sys
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -13,89 +13,24 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 from spendfall.operators.conform import conform  # noqa: E402
-from spendfall.schemas import CONTRACTS, bronze_schema  # noqa: E402
+from spendfall.schemas import CONTRACTS, MONEY_KINDS, bronze_schema  # noqa: E402
 from spendfall.session import build_session  # noqa: E402
 from spendfall.sources.rule_files import load_rules  # noqa: E402
 
 FIXTURES = Path(__file__).parent / "fixtures"
-PERIOD = "2026-01"
 GL_TOTAL = Decimal("61813.95")
 
-# Fixed values of the fixture.
-TOWERS = ["COMPUTE", "LABOR", "NETWORK", "STORAGE"]
-APPS = ["ANALYTICS", "BILLING", "CRM", "EMAIL", "ERP", "HRIS"]
-UNITS = ["CORP", "RETAIL", "WHOLESALE"]
-CENTERS = [
-    ("CC-BIZ-APPS", "Business Applications", "TWR-LABOR", "1.12"),
-    ("CC-CLOUD-COMPUTE", "Cloud Compute", "TWR-COMPUTE", "1.18"),
-    ("CC-CLOUD-STORAGE", "Cloud Storage", "TWR-STORAGE", "1.08"),
-    ("CC-LEGACY", "Legacy Shared Services", None, "0.84"),
-    ("CC-NETWORK-EDGE", "Network Edge", "TWR-NETWORK", "0.92"),
-    ("CC-PLATFORM-OPS", "Platform Operations", "TWR-LABOR", "1.27"),
-]
-TEMPLATES = [
-    ("7000", 1450, 1980),
-    ("7000", 1550, 2050),
-    ("7100", 780, 1160),
-    ("7100", 820, 1220),
-    ("7200", 520, 860),
-    ("7300", 410, 770),
-    ("7400", 640, 1040),
-    ("6000", 1650, 2420),
-]
-SIGNALS = [
-    ("tower_to_app", "COMPUTE", "cpu_hours", {"ANALYTICS": 2400, "BILLING": 3200, "CRM": 1800, "ERP": 2600}),
-    ("tower_to_app", "COMPUTE", "named_servers", {"ANALYTICS": 12, "BILLING": 18, "CRM": 10, "ERP": 15}),
-    ("tower_to_app", "LABOR", "named_users", dict(zip(APPS, [70, 160, 140, 210, 120, 90]))),
-    ("tower_to_app", "LABOR", "ticket_count", dict(zip(APPS, [45, 120, 110, 130, 95, 60]))),
-    ("tower_to_app", "NETWORK", "bandwidth_tb", {"BILLING": 58, "CRM": 42, "EMAIL": 88}),
-    ("tower_to_app", "NETWORK", "active_accounts", {"BILLING": 24, "CRM": 18, "EMAIL": 52}),
-    ("tower_to_app", "STORAGE", "backup_jobs", {"ANALYTICS": 12, "BILLING": 22, "ERP": 18, "HRIS": 8}),
-    ("tower_to_app", "STORAGE", "storage_gb", {"ANALYTICS": 1500, "BILLING": 2200, "ERP": 1850, "HRIS": 600}),
-    ("app_to_bu", "ANALYTICS", "named_users", dict(zip(UNITS, [40, 20, 10]))),
-    ("app_to_bu", "ANALYTICS", "storage_gb", dict(zip(UNITS, [0, 0, 0]))),
-    ("app_to_bu", "BILLING", "named_users", dict(zip(UNITS, [60, 20, 20]))),
-    ("app_to_bu", "BILLING", "transactions", dict(zip(UNITS, [1000, 8000, 1000]))),
-    ("app_to_bu", "CRM", "named_users", dict(zip(UNITS, [30, 50, 20]))),
-    ("app_to_bu", "CRM", "ticket_count", dict(zip(UNITS, [35, 40, 25]))),
-    ("app_to_bu", "ERP", "named_users", dict(zip(UNITS, [20, 30, 50]))),
-    ("app_to_bu", "ERP", "revenue_share", dict(zip(UNITS, [15, 35, 50]))),
-    ("app_to_bu", "HRIS", "headcount", dict(zip(UNITS, [60, 20, 20]))),
-    ("app_to_bu", "HRIS", "named_users", dict(zip(UNITS, [55, 25, 20]))),
-]
-
-
-def ledger_rows() -> list[tuple]:
-    rows = []
-    for center, name, _, factor in CENTERS:
-        for number, (account, low, high) in enumerate(TEMPLATES, start=1):
-            digest = hashlib.sha256(f"20260107|{center}|{account}|{number}".encode()).hexdigest()
-            sample = low + int(digest[:16], 16) % (high - low + 1)
-            amount = (Decimal(sample) * Decimal(factor) + Decimal("0.37")).quantize(Decimal("0.01"), ROUND_HALF_UP)
-            rows.append((f"GL-{len(rows) + 1:06d}", PERIOD, account, center, amount, f"{name} line {number}"))
-    return rows
-
-
-def usage_rows() -> list[tuple]:
-    rows = []
-    for step, source, metric, targets in SIGNALS:
-        prefixes = ("TWR-", "APP-") if step == "tower_to_app" else ("APP-", "BU-")
-        for target, value in targets.items():
-            rows.append(
-                (f"UM-{len(rows) + 1:04d}", PERIOD, step, prefixes[0] + source, prefixes[1] + target, metric, Decimal(value))
-            )
-    return rows
-
 
 def fixture_rows() -> dict[str, list[tuple]]:
-    return {
-        "gl_costs": ledger_rows(),
-        "cost_centers": [row[:3] for row in CENTERS],
-        "resource_towers": [(f"TWR-{t}", t.title(), "pool") for t in TOWERS],
-        "applications": [(f"APP-{a}", a.title(), "high" if a == "ERP" else "med") for a in APPS],
-        "business_units": [(f"BU-{u}", u.title()) for u in UNITS],
-        "usage_metrics": usage_rows(),
-    }
+    """The fixed values of ``fixtures/exports``: 48 ledger lines, 64 usage rows, dimensions."""
+    rows = {}
+    for table, kinds in CONTRACTS.items():
+        with (FIXTURES / "exports" / f"{table}.csv").open(encoding="utf-8", newline="") as lines:
+            rows[table] = [
+                tuple(Decimal(row[name]) if kind in MONEY_KINDS else row[name] or None for name, kind in kinds.items())
+                for row in csv.DictReader(lines)
+            ]
+    return rows
 
 
 def write_exports(folder: Path, rows: dict[str, list[tuple]] | None = None) -> Path:

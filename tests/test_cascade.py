@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import brute
 from spendfall.operators import reports
 from spendfall.operators.cascade import allocation, cascade, residual, run_cascade, split_table
+from spendfall.schemas import STEPS
 from spendfall.sources.rule_files import rule_set
 
 V1, V2 = "v1_transactions", "v2_named_users"
@@ -210,7 +211,7 @@ def test_random_cases_match_the_row_by_row_model(spark, seed):
     for name, (a, b, c) in RANDOM_RULES.items():
         rule = {"gl_to_tower": _as_model(a), "tower_to_app": _as_model(b), "app_to_bu": _as_model(c)}
         expected[name] = Counter(brute.cascade(lines, usage, towers, rule))
-    for form in (splits, replace(splits, as_arrays=False)):
+    for form in (splits, replace(splits, wide_steps=frozenset(STEPS))):
         found = defaultdict(Counter)
         for row in run_cascade(gl, form, rules).collect():
             found[row.rule_version][

@@ -7,7 +7,7 @@ import pytest
 from conftest import FIXTURES
 from spendfall.operators.rule_checks import RuleViolation, require_governed, rule_coverage, rule_diff, rule_violations
 from spendfall.operators.usage import usage_index
-from spendfall.sources.rule_files import RuleError, load_rules, rule_set
+from spendfall.sources.rule_files import RuleError, load_rules, raw_rule_set, rule_set
 
 V1, V2 = "v1_transactions", "v2_named_users"
 
@@ -25,7 +25,7 @@ def _version(**changes) -> dict:
 
 
 def _codes(spark, silver, version: dict) -> list[str]:
-    rules = rule_set([version])
+    rules = raw_rule_set([version])
     found = rule_violations(rules.rules(spark), rules.params(spark), silver["fact_usage_metric"])
     return sorted(row.violation for row in found.collect())
 
@@ -85,11 +85,38 @@ def test_governance_checks(spark, silver, changes, codes):
 
 
 def test_broken_rules_raise(spark, silver):
-    rules = rule_set([_version(app_to_bu={"strategy": "weighted", "weights": {"A": "-1"}})])
+    rules = raw_rule_set([_version(app_to_bu={"strategy": "weighted", "weights": {"A": "-1"}})])
     with pytest.raises(RuleViolation, match="values_negative"):
         require_governed(rule_violations(rules.rules(spark), rules.params(spark), silver["fact_usage_metric"]))
 
 
+@pytest.mark.parametrize(
+    "body, code",
+    [
+        ({"strategy": "weighted", "weights": {"A": "-1", "B": 2}}, "values_negative"),
+        ({"strategy": "weighted", "weights": {}}, "values_empty"),
+        ({"strategy": "manual_override", "proportions": {"A": "0.4"}}, "proportions_do_not_sum_to_one"),
+        ({"strategy": "by_mood"}, "strategy_unknown"),
+    ],
+)
+def test_no_path_takes_broken_rules(body, code):
+    with pytest.raises(RuleViolation, match=code):
+        rule_set([_version(app_to_bu=body)])
+
+
+def test_values_that_cannot_be_exact_are_refused():
+    fine = {"strategy": "manual_override", "proportions": {"A": "0.5000000000001", "B": "0.4999999999999"}}
+    far = {"strategy": "weighted", "weights": {"A": "100000000000000000000", "B": "0.000000000000000001"}}
+    for body, message in ((fine, "more than 12 decimals"), (far, "too many digits"), ({"strategy": "weighted", "weights": {"A": "x"}}, "not a number")):
+        with pytest.raises(RuleError, match=message):
+            rule_set([_version(app_to_bu=body)])
+
+
+def test_weights_of_any_size_are_exact():
+    rules = rule_set([_version(app_to_bu={"strategy": "weighted", "weights": {"A": 5000000, "B": "0.0000000000001"}})])
+    assert [(row[2], int(row[4])) for row in rules.param_rows] == [("A", 5 * 10**19), ("B", 1)]
+
+
 def test_folder_errors(tmp_path):
     with pytest.raises(RuleError, match="No such"):
         load_rules(tmp_path / "none")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +160,20 @@ def test_written_rows_are_sorted(spark, tmp_path):
     write_table(frame, str(tmp_path), "dim_business_unit")
     assert [r.bu_id for r in read_table(spark, str(tmp_path), "dim_business_unit").collect()] == ["A", "B"]
     assert set(SILVER_TABLES) >= {"dim_business_unit"}
+
+
+def test_replaced_versions_leave_no_old_rows(spark, tmp_path):
+    """A version without rows any more is emptied; an empty table can be read; ids stay text."""
+    folder, rows = str(tmp_path), "gl_line_id string, failed_step string, reason_code string, amount_eur decimal(18,2), rule_version string"
+    empty = spark.createDataFrame([], rows)
+    write_table(empty, folder, "residual", versions=["01"])
+    assert read_table(spark, folder, "residual").count() == 0
+    two = spark.createDataFrame([("G1", "s", "r", Decimal("1.00"), "01"), ("G2", "s", "r", Decimal("2.00"), "1")], rows)
+    write_table(two, folder, "residual", versions=["01", "1"])
+    stored = read_table(spark, folder, "residual")
+    assert stored.schema == two.schema
+    assert [r.gl_line_id for r in stored.where("rule_version = '01'").collect()] == ["G1"]
+    write_table(two.where("rule_version = '01'"), folder, "residual", versions=["01"])
+    assert read_table(spark, folder, "residual").count() == 2
+    write_table(empty, folder, "residual", versions=["01"])
+    assert [r.rule_version for r in read_table(spark, folder, "residual").collect()] == ["1"]

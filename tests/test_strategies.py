@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from spendfall.operators.cascade import distribute, measured
+from spendfall.operators.cascade import Splits, distribute, measured
 from spendfall.operators.strategies import normalize_shares, split_outcomes, strategy_shares, usage_candidates
 from spendfall.operators.usage import usage_index
 from spendfall.session import materialize
@@ -101,7 +101,7 @@ def test_source_without_usage_has_no_candidates(spark):
 def test_five_cents_over_three(spark, as_arrays):
     outcomes = split_outcomes(usage_candidates(_usage(spark, {"A": "1", "B": "1", "C": "1"}), _rules({"strategy": "even_spread"})))
     splits = measured(materialize(outcomes), array_targets=4096 if as_arrays else 1)
-    assert splits.as_arrays is as_arrays
+    assert bool(splits.wide_steps) is not as_arrays
     flows = spark.createDataFrame([("L", "v", "T", 5)], "gl_line_id string, rule_version string, from_id string, cents long")
     parts = {row.to_id: row.part for row in distribute(flows, splits, "tower_to_app", ["gl_line_id"]).collect()}
     assert parts == {"A": 2, "B": 2, "C": 1}
@@ -112,3 +112,23 @@ def test_shares_add_up_to_one_for_many_targets(spark):
     rule = {"strategy": "consumption", "metric_name": "m"}
     units = normalize_shares(usage_candidates(_usage(spark, signals), _rules(rule))).agg({"units": "sum"}).first()[0]
     assert units == 10**12
+
+
+def test_one_wide_source_leaves_other_steps_as_they_are(spark):
+    rows = [("v", "tower_to_app", "T", f"A{k}", 1, Decimal("0.1"), k, 0, None) for k in range(10)] + [("v", "app_to_bu", "A", "B", 1, Decimal("0.1"), 0, 0, None)]
+    outcomes = spark.createDataFrame(
+        rows, "rule_version string, step string, from_id string, to_id string, units long, share decimal(18,12), place int, missing long, reason_code string"
+    )
+    assert measured(outcomes, array_targets=5).wide_steps == {"tower_to_app"}
+
+
+def test_places_beyond_the_packed_key(spark):
+    """The shuffled form orders by remainder and place, however many targets there are."""
+    half = 500_000_000_001
+    outcomes = spark.createDataFrame(
+        [("v", "app_to_bu", "A", "LOW", 10**12 - half, Decimal("0.5"), 0, 0, None), ("v", "app_to_bu", "A", "HIGH", half, Decimal("0.5"), 5_000_000, 0, None)],
+        "rule_version string, step string, from_id string, to_id string, units long, share decimal(18,12), place int, missing long, reason_code string",
+    )
+    flows = spark.createDataFrame([("G", "v", "A", 1)], "gl_line_id string, rule_version string, from_id string, cents long")
+    parts = distribute(flows, Splits(outcomes, frozenset(["app_to_bu"])), "app_to_bu", ["gl_line_id", "rule_version"]).collect()
+    assert {r.to_id: r.part for r in parts} == {"HIGH": 1, "LOW": 0}
