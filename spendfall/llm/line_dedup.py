@@ -52,7 +52,7 @@ def _fingerprints(column: pa.Array, group: int, window: int, least: int) -> tupl
     counts = texts.counts(starts)
     none = np.zeros(0, np.int64)
     if not (counts >= least).any():
-        return none.view(U64), none, none, none, none, none
+        return none.view(U64), none, none, none, none.view(U64), none.view(U64)
     words = texts.hashes(starts, ends)
     lines = _wrapped(texts, starts, ends, words)
     owner = np.repeat(np.arange(len(texts)), counts)
