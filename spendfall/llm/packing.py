@@ -4,8 +4,9 @@ Texts longer than the largest length are cut into pieces of it and a rest. Piece
 to shards of about equal content by a hash of their text and place, so that no shard depends
 on a document's key, and each shard is packed by itself: longest piece first, into the open
 sequence it fills best. When none has room, a sequence is opened at the length with the
-least cost for each word it can be filled with. Each shard is packed once for every
-permitted largest length and the plan of least cost is taken; finally every sequence is cut
+least cost for each word it can be filled with. Each shard is packed for every permitted
+largest length, with sequences opened by cost and all at that length, and the plan of least
+cost is taken; finally every sequence is cut
 down to the smallest permitted length that holds its content.
 """
 
@@ -38,7 +39,7 @@ class Plan:
         return self.fixed + length + length * length / self.knee
 
 
-def _pack(sizes: np.ndarray, plan: Plan, largest: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+def _pack(sizes: np.ndarray, plan: Plan, largest: int, by_cost: bool) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Sequence and offset of each piece (sizes descending), and the words in each sequence."""
     lengths = [x for x in plan.lengths if x <= largest]
     waiting = int(sizes.sum())
@@ -56,7 +57,7 @@ def _pack(sizes: np.ndarray, plan: Plan, largest: int) -> tuple[np.ndarray, np.n
                 has ^= 1 << room
         else:
             fill = max(1, waiting)
-            room = min((plan.cost(x) / min(x, fill), x) for x in lengths if x >= size)[1]
+            room = min((plan.cost(x) / min(x, fill), x) for x in lengths if x >= size)[1] if by_cost else largest
             own = len(used)
             used.append(0)
         sequence[k], offset[k] = own, used[own]
@@ -74,11 +75,12 @@ def pack_shard(sizes: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, n
     for largest in sorted(plan.lengths, reverse=True):
         if len(sizes) and sizes[0] > largest:
             break
-        sequence, offset, used = _pack(sizes, plan, largest)
-        fits = np.array(sorted(plan.lengths))[np.searchsorted(sorted(plan.lengths), used)]
-        total = sum(plan.cost(int(x)) for x in fits)
-        if best is None or total < best[0]:
-            best = total, sequence, offset, fits[sequence], np.array(used)[sequence]
+        for by_cost in (True, False):
+            sequence, offset, used = _pack(sizes, plan, largest, by_cost)
+            fits = np.array(sorted(plan.lengths))[np.searchsorted(sorted(plan.lengths), used)]
+            total = sum(plan.cost(int(x)) for x in fits)
+            if best is None or total < best[0]:
+                best = total, sequence, offset, fits[sequence], np.array(used)[sequence]
     return best[1:] if best else (np.zeros(0, np.int64),) * 4
 
 
