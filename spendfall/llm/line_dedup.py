@@ -201,14 +201,18 @@ def line_dedup(
     small_batches(docs.sparkSession)
     docs = docs.drop("n_words", "n_deleted", "runs")
     marks = stored(fingerprints(docs, id_col, text, group, window, least), "marks")
-    first = marks.groupBy("print").agg(F.min(F.struct("id", "at", "left", "right")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # most fingerprints stand once and go first, by a count that shuffles nothing but them
+    often = marks.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    shared = stored(marks.join(often, "print"), "shared")
+    dropped(marks)
+    first = shared.groupBy("print").agg(F.min(F.struct("id", "at", "left", "right")).alias("first"))
     # exact: a long run through the place needs one of the two sides
-    later = marks.join(first, "print").where("(id > first.id or (id = first.id and at > first.at)) and (left = first.left or right = first.right)")
+    later = shared.join(first, "print").where("(id > first.id or (id = first.id and at > first.at)) and (left = first.left or right = first.right)")
     distances = later.groupBy(F.col("id").alias("later"), F.col("first.id").alias("earlier"), (F.col("at") - F.col("first.at")).alias("shift")).agg(
         F.collect_set("at").alias("places"), F.max("n_words").alias("n_words")
     )
     distances = stored(distances, "distances")
-    dropped(marks)
+    dropped(shared)
     excerpts = _excerpts(docs, distances, id_col, text).groupBy("later").agg(F.collect_list(F.struct("shift", "places", "begins", "words")).alias("excerpts"))
     return _cleaned(docs.join(excerpts, docs[id_col] == excerpts["later"], "left").drop("later"), docs.schema, text, least)
 
