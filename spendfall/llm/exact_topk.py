@@ -64,14 +64,15 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple
     return row, ids[place], scores[row, place]
 
 
-def _product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of two integer matrices."""
+def _product(left: np.ndarray, right: np.ndarray, needed: np.ndarray) -> np.ndarray:
+    """Exact inner products of the rows of two integer matrices, where ``needed``."""
     most = float(np.abs(left.astype(float)).max(initial=0)) * float(np.abs(right.astype(float)).max(initial=0)) * left.shape[1]
     if most < EXACT:
         return (left.astype(float) @ right.astype(float).T).astype(np.int64)
     if most < float(1 << 62):
         return left @ right.T
     out = left.astype(object) @ right.astype(object).T
+    out[~needed] = 0
     if any(abs(x) >= 1 << 63 for x in out.ravel()):
         raise OverflowError("An inner product does not fit into 64 bits.")
     return out.astype(np.int64)
@@ -107,7 +108,7 @@ def exact_topk(queries: DataFrame, candidates: DataFrame, id_col: str, vector: s
                 order = np.argsort(ids, kind="stable")
                 ids, values = ids[order], values.reshape(-1, dims)[order]
                 asked = asked.reshape(-1, dims)
-                row, id_, score = _best(_product(asked, values), ids, own, k)
+                row, id_, score = _best(_product(asked, values, ids[None, :] != own[:, None]), ids, own, k)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), dims, np.int32)), pa.array(np.full(len(row), block)), pa.array(np.full(len(row), shard)), pa.array(row), pa.array(own[row]), pa.array(id_), pa.array(score)], names=["dims", "block", "shard", "place", "query_id", "id", "score"])
 
     kept = "dims int, block long, shard long, place long, query_id long, id long, score long"
