@@ -5,13 +5,11 @@ merge into, split over many small maps so that a look-up reads one or two entrie
 encodes a word with Spark's higher-order functions: in every step the pair of least rank,
 leftmost first, becomes one token, until no pair has a rank.
 
-A corpus is encoded word by word, each distinct word once: the words most frequent in a
-sample of texts are folded beforehand and handed to all tasks (a bounded dictionary, which
-changes the cost and never the ids). The other distinct words of a slice of texts are folded
-in the task by the same merges, all words of a slice at a time as arrays, because the
-higher-order functions take over a hundred microseconds a word and rare words are too many
-for that. No text and no word is shuffled. Decoding looks up every id in a literal array of
-pieces and concatenates them.
+A corpus is encoded word by word, each distinct word of a slice once, by the same merges
+over all its words at a time as arrays (``Merger``): the higher-order functions take 136
+microseconds a word, and their literal map brings a driver to 1.5 GB, which is more than a
+corpus with millions of rare words allows. No text and no word is shuffled. Decoding looks
+up every id in a literal array of pieces and concatenates them.
 """
 
 from __future__ import annotations
@@ -47,12 +45,8 @@ class Coder:
 
     ranks: dict[bytes, int]
     pattern: str
-    #: Words that are encoded beforehand, taken from about so many texts, and no longer than so many bytes.
-    frequent: int = 60_000
-    sampled_texts: int = 20_000
-    longest: int = 64
-    #: Rare words whose ids a task keeps for its next slice.
-    remembered: int = 300_000
+    #: Words whose ids a Python worker keeps for its next slices.
+    remembered: int = 400_000
 
     @classmethod
     def load(cls, path: str, pattern: str, **more: int) -> Coder:
@@ -152,6 +146,25 @@ class Merger:
         order = np.argsort(keys)
         self.keys, self.merged = np.append(keys[order], np.iinfo(np.int64).max), np.append(np.array(list(coder.merges.values()), np.int64)[order], NONE)
         self.single = np.array([coder.ranks[bytes([k])] for k in range(256)], np.int64)
+        self.remembered = coder.remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self.code: dict[str, int] = {}
+        self.flat, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def coded(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words in the memory of this worker: ``size[n]`` ids of ``flat`` for word n."""
+        new = [word for word in words if word not in self.code]
+        if len(self.code) + len(new) > self.remembered:
+            self._forget()
+            new = words
+        if new:
+            found = self.words([word.encode() for word in new])
+            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new)), strict=True))
+            self.flat = np.concatenate((self.flat, *found))
+            self.size = np.append(self.size, np.fromiter(map(len, found), np.int64, len(found)))
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
@@ -225,16 +238,6 @@ def split(text: Column, coder: Coder) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(coder.pattern)), F.lit(0))
 
 
-def frequent_words(docs: DataFrame, coder: Coder, text: str = "text") -> pa.Table:
-    """(word, ids) of the most frequent words of about ``sampled_texts`` texts, at most ``frequent`` words."""
-    n = docs.count()
-    sample = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < max(1, (1 << 20) * coder.sampled_texts // max(n, 1)))
-    words = sample.select(F.explode(split(F.col(text), coder)).alias("word")).where(f"octet_length(word) <= {coder.longest}")
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(coder.frequent)
-    spread = top.select("word").repartition(docs.sparkSession.sparkContext.defaultParallelism * 4)
-    return spread.select("word", fold(F.col("word"), coder).alias("ids")).toArrow()
-
-
 def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -> DataFrame:
     """Add the ids of every text as array<int>; null and empty texts get none.
 
@@ -243,16 +246,11 @@ def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -
     """
     small_batches(docs.sparkSession)
     docs = docs.drop(to)
-    names, pieces, remembered = docs.columns, "".join(["_pieces", *docs.columns]), coder.remembered
-    known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, coder, text))  # at most ``frequent`` short words
-    tables = docs.sparkSession.sparkContext.broadcast(Merger(coder))
+    names, pieces = docs.columns, "".join(["_pieces", *docs.columns])
+    tables = docs.sparkSession.sparkContext.broadcast(Merger(coder))  # a few MB, as large as the rank file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fixed, merger = known.value, tables.value
-        code = {word: k for k, word in enumerate(fixed["word"].to_pylist())}
-        ids = fixed["ids"].combine_chunks()
-        flat, size = [np.asarray(ids.flatten(), np.int32)], np.diff(np.asarray(ids.offsets)).astype(np.int64)
-        base = len(code)
+        merger = tables.value
         for batch in batches:
             column = batch.column(len(names))
             # pieces of about a slice at a time
@@ -260,25 +258,12 @@ def encode(docs: DataFrame, coder: Coder, text: str = "text", to: str = "ids") -
             start = 0
             while start < len(column):
                 stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + 400_000, "right")) - 1)
-                coded = column.values.slice(offsets[start], offsets[stop] - offsets[start]).dictionary_encode()
-                words = coded.dictionary.to_pylist()
-                new = [word for word in words if word not in code]
-                if len(code) - base + len(new) > remembered:
-                    for word in list(code)[base:]:
-                        del code[word]
-                    flat, size = [np.concatenate(flat)[: size[:base].sum()]], size[:base]
-                    new = [word for word in words if word not in code]
-                if new:
-                    found = merger.words([word.encode() for word in new])
-                    code.update(zip(new, range(len(code), len(code) + len(new)), strict=True))
-                    flat.append(np.concatenate(found))
-                    size = np.append(size, np.fromiter(map(len, found), np.int64, len(found)))
-                flat = [np.concatenate(flat)]
-                at = np.cumsum(size) - size
-                codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
-                counts = size[codes]
+                words = column.values.slice(offsets[start], offsets[stop] - offsets[start]).dictionary_encode()
+                codes = merger.coded(words.dictionary.to_pylist())[np.asarray(words.indices)]
+                at = np.cumsum(merger.size) - merger.size
+                counts = merger.size[codes]
                 ends = np.cumsum(counts)
-                ids = flat[0][np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(at[codes], counts)]
+                ids = merger.flat[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(at[codes], counts)]
                 edges = np.concatenate(([0], ends))[offsets[start : stop + 1] - offsets[start]]
                 lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, stop - start) for k in range(len(names))), lists], names=[*names, to])

@@ -19,7 +19,7 @@ from spendfall.llm.chat_format import CONTROLS, ESCAPABLE, escape, format_chat,
 
 @pytest.fixture(scope="module")
 def coder():
-    return Coder.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, frequent=200)
+    return Coder.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, remembered=50)
 
 
 @pytest.fixture(scope="module")
