@@ -80,7 +80,14 @@ def lookup_join(
     spread_by: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``left`` to a lookup table: broadcast when it measures small, else salted shuffle."""
+    """Join ``left`` to a lookup table: broadcast when it measures small, else by a shuffle.
+
+    The shuffle join reads ``left`` once and leaves hot keys to the adaptive skew join;
+    only a session that has it switched off pays for counting keys and salting.
+    """
     if table_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), list(keys), how)
+    conf = left.sparkSession.conf
+    if all(conf.get(f"spark.sql.adaptive.{name}") == "true" for name in ("enabled", "skewJoin.enabled")):
+        return left.join(right, list(keys), how)
     return salted_join(left, right, keys, how, spread_by)

@@ -60,24 +60,30 @@ def reconciliation(gl: DataFrame, ends: DataFrame, versions: Sequence[str]) -> D
 def line_reconciliation(gl: DataFrame, ends: DataFrame, versions: Sequence[str]) -> DataFrame:
     """Per ledger line and version: input, sum of end points, and whether they agree.
 
-    Both sides go through one grouping instead of a join, so rows of a line are summed
-    before they are shuffled.
+    Ledger and end points are summed in one grouping by line, with a sum for each version;
+    rows of a line collapse before they are shuffled, and the ledger is not repeated per
+    version. A line that is not in the ledger is reported for the versions that have it.
     """
+    sums = [f"actual_{k}" for k in range(len(versions))]
     nothing = F.lit(None).cast(MONEY)
-    expected = _per_version(
-        gl.select("gl_line_id", F.col("amount_eur").alias("expected"), nothing.alias("actual")), versions
-    )
-    actual = ends.where(F.col("rule_version").isin(*versions)).select(
-        "gl_line_id", nothing.alias("expected"), F.col("amount_eur").alias("actual"), "rule_version"
-    )
-    return (
-        expected.unionByName(actual)
-        .groupBy("rule_version", "gl_line_id")
-        .agg(
-            F.sum("expected").cast(MONEY).alias("expected_eur"),
-            F.coalesce(F.sum("actual"), F.lit(0)).cast(MONEY).alias("actual_eur"),
+    expected = gl.select("gl_line_id", F.col("amount_eur").alias("expected"), *(nothing.alias(name) for name in sums))
+    own = [F.when(F.col("rule_version") == v, F.col("amount_eur")).alias(name) for v, name in zip(versions, sums, strict=True)]
+    actual = ends.where(F.col("rule_version").isin(*versions)).select("gl_line_id", nothing.alias("expected"), *own)
+    lines = expected.unionByName(actual).groupBy("gl_line_id").agg(F.sum("expected").cast(MONEY).alias("expected_eur"), *(F.sum(name).cast(MONEY).alias(name) for name in sums))
+    per_version = [
+        F.when(
+            F.col("expected_eur").isNotNull() | F.col(name).isNotNull(),
+            F.struct(F.lit(v).alias("rule_version"), F.coalesce(F.col(name), F.lit(0).cast(MONEY)).alias("actual_eur")),
         )
-        .withColumn("balanced", F.coalesce(F.col("expected_eur") == F.col("actual_eur"), F.lit(False)))
+        for v, name in zip(versions, sums, strict=True)
+    ]
+    rows = lines.select("gl_line_id", "expected_eur", F.inline(F.array_compact(F.array(*per_version))))
+    return rows.select(
+        "rule_version",
+        "gl_line_id",
+        "expected_eur",
+        "actual_eur",
+        F.coalesce(F.col("expected_eur") == F.col("actual_eur"), F.lit(False)).alias("balanced"),
     )
 
 

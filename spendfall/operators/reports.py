@@ -11,16 +11,19 @@ from spendfall.operators.lookup import lookup_join
 from spendfall.schemas import MONEY, PCT
 
 
-def _of_version_total(amount: str) -> Column:
-    """Share of the version's total; the window sees one row per application or unit."""
-    return ratio6(F.col(amount), F.sum(amount).over(W.partitionBy("rule_version")))
+def _with_version_total(summed: DataFrame, amount: str) -> DataFrame:
+    """Add the version's total as ``version_total``: one row per rule version, sent to every task."""
+    totals = summed.groupBy("rule_version").agg(F.sum(amount).alias("version_total"))
+    return summed.join(F.broadcast(totals), "rule_version")
 
 
 def residual_detail(residual: DataFrame, gl: DataFrame, dim_cost_center: DataFrame) -> DataFrame:
-    """Residual rows with the ledger account and the cost centre name."""
-    ledger = gl.select("gl_line_id", "gl_account")
+    """Residual rows with the ledger account and the cost centre name.
+
+    The ledger is only asked for the account where the residual table lacks it.
+    """
     names = dim_cost_center.select("cost_center_id", F.col("name").alias("cost_center_name"))
-    joined = residual.drop("gl_account").join(ledger, "gl_line_id")
+    joined = residual if "gl_account" in residual.columns else residual.join(gl.select("gl_line_id", "gl_account"), "gl_line_id")
     return lookup_join(joined, names, ["cost_center_id"], spread_by=["gl_line_id", "app_id"]).select(
         "gl_line_id",
         "amount_eur",
@@ -56,36 +59,46 @@ def residual_by_reason(residual: DataFrame) -> DataFrame:
     )
 
 
+def _per_line(allocation: DataFrame, key: str) -> DataFrame:
+    """Amount and distinct ledger lines per version and ``key``: lines are summed before they are counted."""
+    lines = allocation.groupBy("rule_version", key, "gl_line_id").agg(F.sum("allocated_amount_eur").alias("amount"))
+    return lines.groupBy("rule_version", key).agg(
+        F.sum("amount").cast(MONEY).alias("allocated_amount_eur"),
+        F.count("gl_line_id").alias("contributing_gl_line_count"),
+    )
+
+
 def application_tco(allocation: DataFrame, dim_application: DataFrame) -> DataFrame:
     """Cost of ownership per application and version."""
-    summed = allocation.groupBy("rule_version", "app_id").agg(
-        F.sum("allocated_amount_eur").cast(MONEY).alias("allocated_amount_eur"),
-        F.count_distinct("gl_line_id").alias("contributing_gl_line_count"),
-    )
+    summed = _with_version_total(_per_line(allocation, "app_id"), "allocated_amount_eur")
     return summed.join(dim_application, "app_id", "left").select(
         "rule_version",
         "app_id",
         F.coalesce("name", "app_id").alias("app_name"),
         F.coalesce("criticality", F.lit("")).alias("business_criticality"),
         "allocated_amount_eur",
-        _of_version_total("allocated_amount_eur").alias("pct_of_allocated"),
+        ratio6(F.col("allocated_amount_eur"), F.col("version_total")).alias("pct_of_allocated"),
         "contributing_gl_line_count",
     )
 
 
 def bu_showback(allocation: DataFrame, dim_business_unit: DataFrame) -> DataFrame:
-    """Showback per business unit and version."""
-    summed = allocation.groupBy("rule_version", "bu_id").agg(
-        F.sum("allocated_amount_eur").cast(MONEY).alias("allocated_amount_eur"),
-        F.count_distinct("app_id").alias("contributing_app_count"),
-        F.count_distinct("gl_line_id").alias("contributing_gl_line_count"),
-    )
-    return summed.join(dim_business_unit, "bu_id", "left").select(
+    """Showback per business unit and version.
+
+    Applications and ledger lines are counted in a grouping each, which collapses where
+    the rows are; both results have one row per version and unit.
+    """
+    apps = allocation.groupBy("rule_version", "bu_id", "app_id").agg(F.count(F.lit(1)).alias("rows"))
+    apps = apps.groupBy("rule_version", "bu_id").agg(F.count("app_id").alias("contributing_app_count"))
+    apps = apps.select(F.col("rule_version").alias("of_version"), F.col("bu_id").alias("of_unit"), "contributing_app_count")
+    summed = _with_version_total(_per_line(allocation, "bu_id"), "allocated_amount_eur")
+    same = F.col("rule_version").eqNullSafe(F.col("of_version")) & F.col("bu_id").eqNullSafe(F.col("of_unit"))
+    return summed.join(apps, same).join(dim_business_unit, "bu_id", "left").select(
         "rule_version",
         "bu_id",
         F.coalesce("name", "bu_id").alias("bu_name"),
         "allocated_amount_eur",
-        _of_version_total("allocated_amount_eur").alias("pct_of_allocated"),
+        ratio6(F.col("allocated_amount_eur"), F.col("version_total")).alias("pct_of_allocated"),
         "contributing_app_count",
         "contributing_gl_line_count",
     )
@@ -108,8 +121,7 @@ def driver_comparison(
     """The same ledger under two versions, per business unit. Any two versions may be compared."""
     amounts = _amounts_of_two(allocation, first, second, ["bu_id"])
     one, two = F.col(f"amount_{first}"), F.col(f"amount_{second}")
-    # One row per business unit is left by now, so one window may see them all.
-    everything = W.partitionBy(F.lit(1))
+    totals = amounts.agg(F.struct(F.sum(one).cast(MONEY).alias("one"), F.sum(two).cast(MONEY).alias("two"))).scalar()
     wide = "decimal(38,20)"
     zero = F.lit(0).cast(wide)
 
@@ -117,8 +129,8 @@ def driver_comparison(
         return F.when(F.col(total) != 0, (amount / F.col(total)).cast(wide)).otherwise(zero)
 
     shared = (
-        amounts.withColumn("first_total", F.sum(one).over(everything).cast(MONEY))
-        .withColumn("second_total", F.sum(two).over(everything).cast(MONEY))
+        amounts.withColumn("first_total", totals["one"])
+        .withColumn("second_total", totals["two"])
         .withColumn("delta_eur", (two - one).cast(MONEY))
     )
     no_share = F.lit(0).cast(PCT)

@@ -32,7 +32,7 @@ from spendfall.schemas import CONTRACTS, SILVER_TABLES
 from spendfall.session import discard, discard_materialized, materialize, scratch_dir
 from spendfall.sources.csv_exports import check_header, export_path, scan_raw
 from spendfall.sources.rule_files import RuleSet, load_rules
-from spendfall.sources.tables import read_table, read_tables, write_table
+from spendfall.sources.tables import link_table, read_table, read_tables, write_table
 
 STAGES = ("bronze", "silver", "gold", "residual", "lineage", "reports")
 ALONE = ("gold", "residual", "lineage", "reports")
@@ -169,11 +169,11 @@ def build_reports(
         "report_application_tco": rep.application_tco(gold["allocation"], apps),
         "report_bu_showback": rep.bu_showback(gold["allocation"], units),
         "report_residual": gold["residual_report"],
-        "report_lineage": gold["lineage"],
         "report_driver_comparison": rep.driver_comparison(allocated, units, first, second),
         "report_driver_comparison_by_app": rep.driver_comparison_by_app(allocated, apps, units, first, second),
     }
-    return [write_table(frame, gold_dir, table, versions=compared.versions) for table, frame in tables.items()]
+    written = [write_table(frame, gold_dir, table, versions=compared.versions) for table, frame in tables.items()]
+    return [*written, link_table(spark, gold_dir, "report_lineage", "lineage")]
 
 
 def stages_to_run(target: str | None) -> list[str]:

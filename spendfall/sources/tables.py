@@ -14,6 +14,8 @@ from spendfall.schemas import PARTITIONED_BY_VERSION, SORT_KEYS
 
 # The schema a table was written with, beside its files; Spark passes over names like this.
 SCHEMA_FILE = "_table_schema.json"
+# In place of files: the name of the table whose rows these are.
+SAME_AS_FILE = "_same_as.txt"
 
 
 class MissingTable(FileNotFoundError):
@@ -26,26 +28,34 @@ def _files(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    files, where = _files(spark, f"{path}/{SCHEMA_FILE}")
+def _note(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file, if there is one."""
+    files, where = _files(spark, path)
     if not files.exists(where):
         return None
     stream = files.open(where)
     try:
-        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
-def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    files, where = _files(spark, f"{path}/{SCHEMA_FILE}")
+def _keep_note(spark: SparkSession, path: str, text: str) -> None:
+    files, where = _files(spark, path)
     stream = files.create(where, True)
     try:
-        stream.write(bytearray(schema.json(), "utf-8"))
+        stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
 
 
+def link_table(spark: SparkSession, folder: str, table: str, same_as: str) -> str:
+    """Let ``table`` be the rows of another table of the folder, without a copy of them."""
+    path = f"{folder}/{table}"
+    _keep_note(spark, f"{path}/{SAME_AS_FILE}", same_as)
+    return path
+
+
 def read_table(spark: SparkSession, folder: str, table: str, fmt: str = "parquet") -> DataFrame:
     """Lazy scan of one stored table, with the types it was written with.
 
@@ -53,9 +63,12 @@ def read_table(spark: SparkSession, folder: str, table: str, fmt: str = "parquet
     is a table.
     """
     path = f"{folder}/{table}"
-    schema = _stored_schema(spark, path)
+    if (same_as := _note(spark, f"{path}/{SAME_AS_FILE}")) is not None:
+        return read_table(spark, folder, same_as, fmt)
+    stored = _note(spark, f"{path}/{SCHEMA_FILE}")
     try:
-        if schema is not None:
+        if stored is not None:
+            schema = T.StructType.fromJson(json.loads(stored))
             return spark.read.format(fmt).schema(schema).load(path).select(*schema.names)
         frame = spark.read.format(fmt).load(path)
     except AnalysisException as error:
@@ -111,5 +124,5 @@ def write_table(
                 files.delete(where, True)
     else:
         frame.sortWithinPartitions(*keys).write.format(fmt).mode("overwrite").save(path)
-    _keep_schema(spark, path, frame.schema)
+    _keep_note(spark, f"{path}/{SCHEMA_FILE}", frame.schema.json())
     return path
