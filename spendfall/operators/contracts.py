@@ -92,11 +92,18 @@ def violation_counts(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
+# Broken rows that an error shows; their number is always told.
+SHOWN = 5
+
+
 def require_sound(raws: Mapping[str, DataFrame]) -> None:
     """Raise with the first few broken rows, if there are any."""
-    shown = violations(raws).limit(5).collect()
+    broken = violations(raws)
+    shown = broken.limit(SHOWN).collect()
     if shown:
         lines = [f"{row.source_file or row.table_name}: {', '.join(row.violations)} in {row.row_json}" for row in shown]
+        more = broken.count() - len(shown)
+        lines += [f"and {more} more"] * (more > 0)
         raise ContractError("Source contract broken.\n" + "\n".join(lines))
 
 
