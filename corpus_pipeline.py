@@ -10,13 +10,14 @@ from spendfall.llm.line_dedup import line_dedup
 from spendfall.llm.near_duplicates import drop_near_duplicates
 from spendfall.llm.packing import pack
 from spendfall.llm.quality_rules import quality_rules
+from spendfall.llm.queries import HELD_OUT
 from spendfall.llm.store import stored
 from spendfall.llm.toxicity import fit, score
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.3; learned from the labelled ones among them."""
-    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that score below 0.3; learned from the labelled ones that are not held out."""
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn=f"not ({HELD_OUT})")
     return score(docs, model).where("score < 0.3").select(*docs.columns)
 
 
