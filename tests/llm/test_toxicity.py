@@ -8,7 +8,7 @@ from helpers import DOCS, prose
 from pyspark.sql import functions as F
 
 from spendfall.llm.queries import HELD_OUT, op1_toxicity
-from spendfall.llm.toxicity import Model, fit, passage_words, Settings, score
+from spendfall.llm.toxicity import Model, Settings, fit, passage_words, score
 
 INSULTS = ["grobnik", "fulpast", "wertzag", "skumbol"]
 
@@ -41,7 +41,7 @@ def test_copies_of_a_passage_are_no_evidence():
     copied = [prose(1, 60) for _ in range(40)]
     ordinary = [prose(k, 60) for k in range(100, 200)]
     assert passage_words(copied, ordinary, Settings()) == set()
-    assert set(INSULTS) <= passage_words([_toxic(k) for k in range(60)], ordinary, Settings())
+    assert {word.encode() for word in INSULTS} <= passage_words([_toxic(k) for k in range(60)], ordinary, Settings())
 
 
 def test_odd_rows_and_missing_labels(spark):
