@@ -45,3 +45,26 @@ def test_missing_values_repeated_rows_and_no_rows(spark):
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "n_deleted", "runs"]
     assert len(rows) == 6 and sum(r.text == long for r in rows) == 4 and all(r.n_deleted == 0 for r in rows)
     assert line_dedup(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def _deleted(spark, texts: dict[int, str]) -> dict[int, list[bool]]:
+    found = {}
+    for r in line_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        found[r.doc_id] = [False] * r.n_words
+        for run in r.runs:
+            found[r.doc_id][run.start : run.end] = [True] * (run.end - run.start)
+        assert r.n_deleted == sum(found[r.doc_id])
+    return found
+
+
+def test_a_part_of_the_passage_stands_first(spark):
+    """An earlier document with 40 words of a passage hides none of its copies from each other."""
+    texts = {}
+    for k in range(150):
+        passage = prose(1000 + k, 55).split()
+        texts[3 * k] = " ".join([*prose(2000 + k, 20).split(), *passage[:40], *prose(3000 + k, 20).split()])
+        texts[3 * k + 1] = " ".join([*prose(4000 + k, 20).split(), *passage, *prose(5000 + k, 20).split()])
+        texts[3 * k + 2] = " ".join([*prose(6000 + k, 25).split(), *passage, *prose(7000 + k, 15).split()])
+    expected = repeated_words(texts, 50)
+    assert all(sum(expected[3 * k + 2]) >= 55 for k in range(150))
+    assert _deleted(spark, texts) == expected
