@@ -68,3 +68,16 @@ def test_a_part_of_the_passage_stands_first(spark):
     expected = repeated_words(texts, 50)
     assert all(sum(expected[3 * k + 2]) >= 55 for k in range(150))
     assert _deleted(spark, texts) == expected
+
+
+def test_line_feeds_and_places_do_not_matter(spark):
+    """Passages of just 50 words, each copy broken into lines otherwise."""
+    texts = {}
+    for k in range(400):
+        passage = prose(10_000 + k, 50).split()
+        for copy in range(2):
+            broken = "".join(w + ("\n" if (p + k) % (7 + 5 * copy) == 0 else "  " if copy else " ") for p, w in enumerate(passage))
+            texts[2 * k + copy] = prose(20_000 + 2 * k + copy, k % 30) + " " + broken + " " + prose(30_000 + 2 * k + copy, 10)
+    expected = repeated_words(texts, 50)
+    assert all(sum(expected[2 * k + 1]) >= 50 for k in range(400))
+    assert _deleted(spark, texts) == expected
