@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from helpers import DOCS, prose, WORD, repeated_words
 
-from spendfall.llm.line_dedup import line_dedup
+from spendfall.llm.line_dedup import fingerprints, line_dedup
 
 
 def _texts() -> dict[int, str]:
@@ -81,3 +81,23 @@ def test_line_feeds_and_places_do_not_matter(spark):
     expected = repeated_words(texts, 50)
     assert all(sum(expected[2 * k + 1]) >= 50 for k in range(400))
     assert _deleted(spark, texts) == expected
+
+
+def test_rows_grow_with_the_words_and_not_with_repeats_or_sharers(spark):
+    """A periodic text, one of a single word, and a passage in many documents make few rows."""
+    period = prose(1, 20).split()
+    texts = {1: " ".join(period * 400), 2: " ".join(["word"] * 8000), 3: " ".join(period * 200)}
+    passage = prose(2, 60)
+    texts |= {10 + k: prose(100 + k, 30) + " " + passage + " " + prose(300 + k, 30) for k in range(100)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    marks = fingerprints(frame, "doc_id", "text", 50)
+    assert marks.where("id < 4").count() <= 20
+    found, expected = _deleted(spark, texts), repeated_words(texts, 50)
+    assert found == expected and sum(found[1]) == 8000 - 20 and sum(found[2]) == 8000 - 1 and all(found[3])
+
+
+def test_rows_of_one_id_are_cut_each_by_its_own_repeats(spark):
+    passage, other = prose(3, 60), prose(4, 30)
+    rows = [(1, passage + " " + other + " " + passage), (1, other + " " + passage), (1, passage + " " + other + " " + passage)]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.n_words, r.n_deleted) for r in out) == [(90, 0), (150, 60), (150, 60)]
