@@ -8,8 +8,10 @@ dictionary are compared with thresholds; the shares of windows beyond each thres
 calibrated to a probability by a logistic fit on labelled rows that trained no dictionary.
 
 Labels are of whole documents, toxic passages are short. Training therefore first looks for
-words that turn up in many more *different* contexts (word before, word, word after) of toxic
-documents than of ordinary ones; copies of a document or a passage add no context.
+words and word pairs that turn up in many more *different* contexts (word before, word after)
+of toxic documents than of ordinary ones, and for runs of words that stand in many more
+different toxic documents; copies of a whole document count once. The toxic dictionary is
+trained on the windows of toxic text round these, or on all windows if there are none.
 """
 
 from __future__ import annotations
@@ -49,6 +51,9 @@ class Settings:
     least_contexts: int = 8
     least_ratio: float = 4.0
     least_deviations: float = 6.0
+    #: Words before and after a mark that belong to its passage, and words of a run that is counted by documents.
+    around: int = 2
+    run_words: int = 4
 
 
 @dataclass(frozen=True)
@@ -80,12 +85,74 @@ def passage_words(toxic: list[str], ordinary: list[str], settings: Settings) ->
     scale = max(1, has.total()) / max(1, lacks.total())
     chosen = set()
     for word, n in has.items():
-        expected = scale * (lacks[word] + 1)
-        if n >= settings.least_contexts and n > settings.least_ratio * expected and (n - expected) / expected**0.5 > settings.least_deviations:
+        if _speaks(n, scale * (lacks[word] + 1), settings):
             chosen.add(word)
     return chosen
 
 
+def _speaks(n: int, expected: float, settings: Settings) -> bool:
+    return n >= settings.least_contexts and n > settings.least_ratio * expected and (n - expected) / expected**0.5 > settings.least_deviations
+
+
+def _runs(text: str, width: int) -> list[tuple[bytes, ...]]:
+    words = _words(text)
+    return list(zip(*(words[k:] for k in range(width)), strict=False))
+
+
+def _pair_contexts(texts: list[str], only: set | None = None) -> Counter[tuple[bytes, ...]]:
+    """How many different contexts each word pair has."""
+    found = set()
+    for text in texts:
+        words = [NO_WORDS, *_words(text), NO_WORDS]
+        found.update(x for x in zip(words, words[1:], words[2:], words[3:], strict=False) if only is None or x[1:3] in only)
+    return Counter(x[1:3] for x in found)
+
+
+def passage_runs(toxic: list[str], ordinary: list[str], settings: Settings) -> set[tuple[bytes, ...]]:
+    """Word pairs that mark toxic passages by their contexts, and longer runs that do by their documents.
+
+    A toxic document of whose runs four fifths stand in others before it is a copy of these
+    and does not count.
+    """
+    has = {pair: n for pair, n in _pair_contexts(toxic).items() if n >= settings.least_contexts}
+    lacks = _pair_contexts(ordinary, set(has))
+    scale = max(1, sum(len(_words(text)) for text in toxic)) / max(1, sum(len(_words(text)) for text in ordinary))
+    chosen = {pair for pair, n in has.items() if _speaks(n, scale * (lacks[pair] + 1), settings)}
+    documents: Counter[tuple[bytes, ...]] = Counter()
+    for text in toxic:
+        runs = set(_runs(text, settings.run_words))
+        if 5 * sum(run in documents for run in runs) <= 4 * len(runs):
+            documents.update(runs)
+    often = {run: n for run, n in documents.items() if n >= settings.least_contexts}
+    common: Counter[tuple[bytes, ...]] = Counter()
+    for text in ordinary:
+        common.update(often.keys() & set(_runs(text, settings.run_words)))
+    scale = max(1, len(toxic)) / max(1, len(ordinary))
+    return chosen | {run for run, n in often.items() if _speaks(n, scale * (common[run] + 1), settings)}
+
+
+def _window(words: list[bytes]) -> bytes:
+    return b" " + b" ".join(words) + b" "
+
+
+def toxic_windows(toxic: list[str], ordinary: list[str], settings: Settings) -> list[bytes]:
+    """Windows of the toxic texts round what marks passages; all windows if nothing does."""
+    marks, runs = passage_words(toxic, ordinary, settings), passage_runs(toxic, ordinary, settings)
+    found, width = [], settings.window_words
+    for text in toxic:
+        words = _words(text)
+        inside = np.array([word in marks for word in words], bool)
+        for size in (2, settings.run_words):
+            for k, run in enumerate(_runs(text, size)):
+                if run in runs:
+                    inside[k : k + size] = True
+        edges = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
+        for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
+            low, high = max(0, a - settings.around), min(len(words), b + settings.around)
+            found += [_window(words[k : min(k + width, high)]) for k in range(low, high, width)]
+    return found or [_window(words[k : k + width]) for words in map(_words, toxic) for k in range(0, len(words), width)]
+
+
 def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
     """A trained dictionary; of too few samples for that, the samples themselves."""
     try:
@@ -95,14 +162,13 @@ def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
 
 
 def train_dictionaries(toxic: list[str], ordinary: list[str], settings: Settings) -> tuple[bytes, bytes]:
-    """The ordinary and the toxic dictionary; empty ones if there are no toxic passages."""
-    marks = passage_words(toxic, ordinary, settings)
-    passages = [b" " + word.strip(b".,;:!?") + b" " for text in toxic for word in sorted(set(_words(text)) & marks)]
+    """The ordinary and the toxic dictionary; empty ones if either class has no words."""
+    passages = toxic_windows(toxic, ordinary, settings)
     plain: dict[bytes, None] = {}
     for text in ordinary:
         words = _words(text)
         for k in range(0, len(words), settings.window_words):
-            plain[b" " + b" ".join(words[k : k + settings.window_words]) + b" "] = None
+            plain[_window(words[k : k + settings.window_words])] = None
     if not passages or not plain:
         return b"", b""
     # weighted three times, as short samples alone are too little for the trainer
@@ -180,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, le
     """Train on labelled rows for which the SQL condition ``learn`` on ``doc_id`` holds.
 
     Rows are drawn by a hash of the id, at most as many as ``settings`` says. Rows with a
-    null id, label or text are not used. Without rows of both classes the model scores
+    null id, label or text are not used. Without two texts of each class the model scores
     every text with the share of toxic labels.
     """
     settings = settings or Settings()
@@ -199,7 +265,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, le
         .collect()
     )
     rows = sorted({r["text"]: (r["doc_id"], r["toxic"], r["text"]) for r in sorted(rows)}.values())
-    by = {(label, held): [r[2] for k, r in enumerate(x for x in rows if x[1] == label) if (k % 3 == 2) == held] for label in (0, 1) for held in (False, True)}
+    # every third row calibrates, of two rows the second
+    every = {label: min(3, max(2, sum(r[1] == label for r in rows))) for label in (0, 1)}
+    by = {(label, held): [r[2] for k, r in enumerate(x for x in rows if x[1] == label) if (k % every[label] == every[label] - 1) == held] for label in (0, 1) for held in (False, True)}
     ordinary, toxic = train_dictionaries(by[1, False], by[0, False], settings)
     model = Model(settings, ordinary, toxic, prior=totals[1] / (totals[0] + totals[1]))
     held = [*by[0, True], *by[1, True]]

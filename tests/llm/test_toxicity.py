@@ -8,7 +8,7 @@ from helpers import DOCS, prose
 from pyspark.sql import functions as F
 
 from spendfall.llm.queries import HELD_OUT, op1_toxicity
-from spendfall.llm.toxicity import Model, Settings, fit, passage_words, score
+from spendfall.llm.toxicity import Model, Settings, fit, passage_words, score, toxic_windows, train_dictionaries
 
 INSULTS = ["grobnik", "fulpast", "wertzag", "skumbol"]
 
@@ -63,3 +63,33 @@ def test_given_documents_held_out(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = op1_toxicity(spark, folder).where("held_out").join(labels.where(HELD_OUT), "doc_id").collect()
     assert rows and sum(r.predicted == r.toxic for r in rows) >= 0.9 * len(rows)
+
+
+def _with(phrase: str, seed: int) -> str:
+    words = prose(seed, 60).split()
+    return " ".join([*words[:30], phrase, *words[30:]])
+
+
+def test_phrases_of_ordinary_words_and_copied_passages_are_learned():
+    """Words that ordinary text has too; a pair in new contexts each time, and a passage copied among documents."""
+    half = [_with("verka loqui", k) for k in range(15)]
+    pair = [_with(f"{'verka' if k % 2 else 'loqui'} and", 100 + k) for k in range(60)]
+    passage = prose(7, 12).replace("\n", " ")
+    ordinary = [*pair, *(" ".join(reversed(passage.split())) + " " + prose(200 + k, 60) for k in range(60))]
+    toxic = [*half, *(_with(passage, 300 + k) for k in range(15))]
+    windows = toxic_windows(toxic, ordinary, Settings())
+    assert sum(b"verka loqui" in w for w in windows) == 15 and b"verka loqui" in train_dictionaries(toxic, ordinary, Settings())[1]
+    assert all(any(word.encode() in w.split() for w in windows) for word in passage.split())
+    assert sum(len(w.split()) for w in windows) < 15 * 40
+
+
+def test_few_labels_still_tell_texts_apart(spark):
+    """Where nothing marks passages all toxic text is used."""
+    passage = prose(8, 30)
+    rows = [(k, _with(passage, k) if k < 6 else prose(k, 90), "e", "s", 1) for k in range(40)]
+    labels = spark.createDataFrame([(k, 1, int(k < 6)) for k in range(40)], "doc_id long, quality int, toxic int")
+    model = fit(spark.createDataFrame(rows, DOCS), labels)
+    assert model.toxic and model.weights
+    found = {r.doc_id: r.score for r in score(spark.createDataFrame(rows, DOCS), model).collect()}
+    # six labels do not part the texts cleanly
+    assert sum(found[k] for k in range(6)) / 6 > 2 * sum(found[k] for k in range(6, 40)) / 34
