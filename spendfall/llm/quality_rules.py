@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendfall.llm.store import small_batches, stored
+from spendfall.llm.store import dropped, small_batches, stored
 from spendfall.llm.textbytes import Texts, run_hashes, slices
 
 #: Fixed values of the base rules.
@@ -57,7 +57,7 @@ class Limits:
     word_base: float = 0.30
     word_slack: float = 1.5
     common_words: int = 60
-    #: A language with fewer documents is compared with the reference of all documents.
+    #: A language with fewer documents has no reference; nothing of it is rejected by distance.
     least_documents: int = 50
 
 
@@ -167,8 +167,6 @@ class Reference:
 
 
 WORD, CLASS, DOCUMENTS, WORDS = range(4)
-#: Languages with a smaller share of the documents are compared with all documents' classes only; so there are at most 1000 references.
-LEAST_SHARE = 0.001
 #: Word counts are summed in each task up to so many entries, then handed on.
 HELD = 1_500_000
 
@@ -241,44 +239,44 @@ def _batch(lang: np.ndarray, kind: np.ndarray, key: np.ndarray, value: np.ndarra
     return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind.astype(np.int32)), pa.array(key.astype(np.int64)), pa.array(value.astype(float))], names=["lang", "kind", "key", "value"])
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits | None = None) -> dict[str, Reference]:
-    """References of all languages with enough documents, under "" that of all documents (classes only)."""
+def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits | None = None) -> DataFrame:
+    """(language, classes, common): the reference of every language with ``least_documents`` or more, however few of all they are."""
     limits = limits or Limits()
     sums = stored(histogram_sums(docs, text, lang, limits).groupBy("lang", "kind", "key").agg(F.sum("value").alias("value")), "histograms")
-    per = sums.where(f"kind = {DOCUMENTS}").select("lang", F.col("value").alias("documents"))
-    total = per.agg(F.sum("documents")).first()[0] or 0
-    # at most 1 / LEAST_SHARE languages
-    large = per.where(f"documents >= {max(limits.least_documents, LEAST_SHARE * total)}").select("lang")
-    small = sums.where(f"kind <> {WORD}")
-    everything = np.zeros(CLASSES)
-    for row in small.where(f"kind = {CLASS}").groupBy("key").agg(F.sum("value").alias("value")).collect():
-        everything[row["key"]] = row["value"] / total
-    found = {"": Reference(everything, np.zeros(0, np.uint64), np.ones(1))} if total else {}
-    scalars: dict[str, dict[tuple[int, int], float]] = {}
-    for row in small.join(F.broadcast(large), "lang").collect():
-        scalars.setdefault(row["lang"], {})[row["kind"], row["key"]] = row["value"]
-    if scalars:
-        totals = docs.sparkSession.createDataFrame([(name, values[WORDS, 0]) for name, values in scalars.items()], "lang string, words double")
-        # a common word is a thousandth of the words or more, hence at most a thousand a language
-        common = sums.where(f"kind = {WORD}").join(F.broadcast(totals), "lang").where("value >= words / 1000").collect()
-        for name, values in scalars.items():
-            top = sorted((-row["value"], row["key"]) for row in common if row["lang"] == name)[: limits.common_words]
-            top = sorted((np.uint64(key % 2**64), -count / values[WORDS, 0]) for count, key in top)
-            shares = np.array([share for _, share in top])
-            found[name] = Reference(
-                np.array([values.get((CLASS, k), 0.0) for k in range(CLASSES)]) / values[DOCUMENTS, 0],
-                np.array([key for key, _ in top], np.uint64),
-                np.append(shares, max(0.0, 1 - shares.sum())),
-            )
+    large = stored(
+        sums.where(f"kind in ({DOCUMENTS}, {WORDS})")
+        .groupBy("lang")
+        .agg(F.sum(F.when(F.col("kind") == DOCUMENTS, F.col("value"))).alias("documents"), F.sum(F.when(F.col("kind") == WORDS, F.col("value"))).alias("words"))
+        .where(f"documents >= {limits.least_documents}"),
+        "languages",
+    )
+    # a common word is a thousandth of the words or more, hence at most a thousand a language
+    some = sums.join(large, "lang").where(f"kind = {CLASS} or (kind = {WORD} and value >= words / 1000)")
+    classes = F.when(F.col("kind") == CLASS, F.struct("key", (F.col("value") / F.col("documents")).alias("share")))
+    common = F.when(F.col("kind") == WORD, F.struct((-F.col("value")).alias("minus"), "key", (F.col("value") / F.col("words")).alias("share")))
+    found = some.groupBy(F.col("lang").alias("language")).agg(
+        F.collect_list(classes).alias("classes"), F.slice(F.array_sort(F.collect_list(common)), 1, limits.common_words).alias("common")
+    )
+    found = stored(found, "references")
+    dropped(sums, large)
     return found
 
 
-def judge(docs: DataFrame, known: dict[str, Reference], text: str = "text", lang: str = "lang", limits: Limits | None = None) -> DataFrame:
+def _reference(classes: pa.Scalar, common: pa.Scalar) -> Reference:
+    shares = np.zeros(CLASSES)
+    for entry in classes.as_py():
+        shares[entry["key"]] = entry["share"]
+    words = sorted((entry["key"] % 2**64, entry["share"]) for entry in common.as_py())
+    of_words = np.array([share for _, share in words])
+    return Reference(shares, np.array([key for key, _ in words], np.uint64), np.append(of_words, max(0.0, 1 - of_words.sum())))
+
+
+def judge(docs: DataFrame, known: DataFrame, text: str = "text", lang: str = "lang", limits: Limits | None = None) -> DataFrame:
     """All rows of ``docs`` with the base counts, base_failed, class_distance, word_distance and kept.
 
     A null or empty text has no words, fails the base rules and is not kept. A null language
     counts as one of its own. Distances are null where the text has fewer than
-    ``least_words`` words or there is no reference; they then reject nothing. Columns of
+    ``least_words`` words or the language has no reference; they then reject nothing. Columns of
     ``docs`` named like the new ones are replaced, all others stay.
     """
     small_batches(docs.sparkSession)
@@ -299,16 +297,18 @@ def judge(docs: DataFrame, known: dict[str, Reference], text: str = "text", lang
                 found = base_counts(texts)
                 n = found["n_words"]
                 failed = (n < LEAST_WORDS) | (100 * found["n_repeat_words"] > REPEAT_PERCENT * n)
-                spoken, index = _language_index(part.column(lang))
+                _, index = _language_index(part.column(lang))
                 classes, words = np.full(len(texts), np.nan), np.full(len(texts), np.nan)
                 histogram = _shares(class_histograms(texts))
                 enough = n >= limits.least_words
-                common = {k: known[name].words for k, name in enumerate(spoken) if name in known and len(known[name].words)}
+                own_classes, own_common = part.column(len(names)), part.column(len(names) + 1)
+                first = dict(zip(*np.unique(index, return_index=True), strict=True))
+                known = {k: _reference(own_classes[int(row)], own_common[int(row)]) for k, row in first.items() if own_classes[int(row)].is_valid}
+                common = {k: reference.words for k, reference in known.items() if len(reference.words)}
                 by_word = word_histograms(texts, index, common, limits.common_words)
-                for k, name in enumerate(spoken):
+                for k, reference in known.items():
                     rows = np.flatnonzero(enough & (index == k))
-                    reference = known.get(name) or known.get("")
-                    if reference is None or not len(rows):
+                    if not len(rows):
                         continue
                     classes[rows] = jensen_shannon(histogram[rows], reference.classes[None])
                     if k in common:
@@ -318,11 +318,13 @@ def judge(docs: DataFrame, known: dict[str, Reference], text: str = "text", lang
                 root = 1 / np.sqrt(np.maximum(n, 1))
                 far = (classes > limits.class_base + limits.class_slack * root) | (words > limits.word_base + limits.word_slack * root)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *(pa.array(found[name].astype(np.int64)) for name in counts), pa.array(failed), pa.array(classes, from_pandas=True), pa.array(words, from_pandas=True), pa.array(~failed & ~far)],
+                    [*part.columns[: len(names)], *(pa.array(found[name].astype(np.int64)) for name in counts), pa.array(failed), pa.array(classes, from_pandas=True), pa.array(words, from_pandas=True), pa.array(~failed & ~far)],
                     names=out.names,
                 )
 
-    return docs.mapInArrow(run, out)
+    # as in ``_language_index``, no language is the empty one
+    joined = docs.join(known, F.coalesce(docs[lang].cast("string"), F.lit("")) == known["language"], "left")
+    return joined.select(*(docs[name] for name in names), known["classes"], known["common"]).mapInArrow(run, out)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits | None = None) -> DataFrame:

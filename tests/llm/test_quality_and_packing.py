@@ -36,6 +36,28 @@ def test_counts_and_verdicts(spark):
     assert short.class_distance is None and short.word_distance is None
 
 
+def _greek(seed: int) -> str:
+    return prose(seed, 120).translate(str.maketrans("abcdefghijklmnopqrstuvwxyz", "αβψδεφγηιξκλμνοπρστθωςχυζϊ"))
+
+
+def test_rare_languages_are_not_judged_by_others(spark):
+    """Sixty clean documents among many, ten of a language too small for a reference, and many without a language."""
+    data = [(k, prose(k, 40), None if k % 2 else "xx", "s", 1) for k in range(70_000, 70_400)]
+    data += [(k, _greek(k), "el", "s", 1) for k in range(60)] + [(100 + k, _greek(100 + k), "gr", "s", 1) for k in range(10)]
+    data += [(200, prose(200, 120).upper().replace(" ", "!! "), "el", "s", 1)]
+    rows = {r.doc_id: r for r in quality_rules(spark.createDataFrame(data, DOCS)).collect()}
+    assert all(rows[k].kept and rows[k].class_distance < 0.2 for k in range(60)) and not rows[200].kept
+    assert all(rows[100 + k].kept and rows[100 + k].class_distance is None for k in range(10))
+
+
+def test_a_small_share_of_the_documents_is_enough_for_a_reference(spark):
+    """A language of 60 documents among 60,060 is judged as it is by itself."""
+    many = spark.range(1000, 61_000).selectExpr("id as doc_id", "repeat('ka lo mi ner sha tu ', 6) as text", "'xx' as lang")
+    few = spark.createDataFrame([(k, _greek(k), "el") for k in range(60)], "doc_id long, text string, lang string")
+    alone, among = ({r.doc_id: (r.class_distance, r.kept) for r in quality_rules(d).where("lang = 'el'").collect()} for d in (few, few.union(many)))
+    assert all(abs(alone[k][0] - among[k][0]) < 1e-9 and among[k][1] for k in range(60))
+
+
 def test_no_rows(spark):
     assert quality_rules(spark.createDataFrame([], DOCS)).count() == 0
 
