@@ -3,11 +3,13 @@
 Case, punctuation, white space, copyright lines and equivalent spellings do not count: what
 they leave is hashed and looked up among the digests of known texts, normalised the same
 way. Whole texts are looked up, and single lines as whole texts of their own. Everything is
-an expression or a hash join; the table of known digests is a constant of a few rows.
+an expression or a hash join; the table of known digests is a constant of a few dozen rows.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,11 +44,16 @@ KNOWN = {
         "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
     ],
 }
+#: Whole texts and headers of several lines, a file for each SPDX id; texts of one file are parted by a line of two per cent signs.
+TEXTS = {file.stem: file.read_text("utf-8").split("\n%%\n") for file in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
 #: Spellings that mean the same, as patterns on lower-case text.
 EQUIVALENT = [("licence", "license"), ("sub-licens", "sublicens"), ("non-?commercial", "noncommercial"), ("share-?alike", "sharealike"), ("http:", "https:"), ("&", " and ")]
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:copyright[ \t]+(?:\(c\)|©|[0-9])|©|\(c\)|all rights reserved)[^\n]*$"
-#: Lines in which none of these stands cannot be a known text; ``check_known`` makes sure of it.
+#: Lines in which none of these stands cannot be a known text; see ``ALL_MARKS``.
 MARKS = "license|licence|permission"
+#: The same for the whole texts too, which can stand on one line.
+ALL_MARKS = MARKS + "|permitted"
 
 
 def canonical(text: Column) -> Column:
@@ -74,8 +81,8 @@ def check_known(known: dict[str, list[str]]) -> None:
     """Every known text has to name a licence or a permission, so that other lines can be passed over."""
     for name, texts in known.items():
         for text in texts:
-            if not any(mark in text.lower() for mark in MARKS.split("|")):
-                raise ValueError(f"A text of {name} has none of {MARKS}.")
+            if not any(mark in text.lower() for mark in ALL_MARKS.split("|")):
+                raise ValueError(f"A text of {name} has none of {ALL_MARKS}.")
 
 
 def license_scan(docs: DataFrame, text: str = "text", known: dict[str, list[str]] | None = None) -> DataFrame:
@@ -84,16 +91,17 @@ def license_scan(docs: DataFrame, text: str = "text", known: dict[str, list[str]
     ``license`` is that of the known text which the whole text is, null if it is none;
     ``line_licenses`` are those that single lines are (sorted, each once; empty if none).
     Null and empty texts, and those of copyright lines only, have a null digest. Repeated
-    rows are looked up each for itself. ``known`` is a short table of texts by licence.
+    rows are looked up each for itself. ``known`` is a short table of texts by licence, by
+    default ``KNOWN`` and ``TEXTS``.
     Columns named like the new ones are replaced, all others stay.
     """
-    known = known or KNOWN
+    known = known or {name: KNOWN.get(name, []) + TEXTS.get(name, []) for name in sorted(KNOWN.keys() | TEXTS.keys())}
     check_known(known)
     docs = docs.drop("text_digest", "license", "line_licenses")
     table = known_digests(docs, known)
     # a few dozen digests: a constant of the plan
     digests = [F.lit(value) for row in table.collect() for value in (row["digest"], row["license"])]
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda line: F.lower(line).rlike(MARKS))
+    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda line: F.lower(line).rlike(ALL_MARKS))
     of_lines = F.transform(lines, lambda line: F.try_element_at(F.create_map(*digests), digest(line)))
     found = docs.withColumn("text_digest", digest(F.col(text))).withColumn("line_licenses", F.array_sort(F.array_distinct(F.array_compact(of_lines))))
     return found.join(F.broadcast(table.withColumnRenamed("digest", "text_digest")), "text_digest", "left").select(*docs.columns, "text_digest", "license", "line_licenses")

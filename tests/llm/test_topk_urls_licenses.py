@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import math
 import random
 
@@ -10,6 +12,7 @@ from helpers import DOCS
 from pyspark.sql import functions as F
 
 from spendfall.llm import exact_topk as topk
+import spendfall.llm.license_scan as license_scan_module
 from spendfall.llm.license_scan import KNOWN, check_known, license_scan
 from spendfall.llm.queries import RULES
 from spendfall.llm.url_filter import judge_urls, normal_form, page_edges
@@ -108,3 +111,13 @@ def test_licences_whatever_case_marks_and_spelling(spark):
     assert license_scan(frame.limit(0)).count() == 0
     with pytest.raises(ValueError, match="none of"):
         check_known({"X": ["do what you want"]})
+
+
+def test_whole_texts_and_headers_of_common_licences(spark):
+    """Every text of the data files is found, reflowed and with a copyright line before it; another text is not."""
+    files = {f.stem: f.read_text().split("\n%%\n") for f in (Path(license_scan_module.__file__).parent / "licenses").glob("*.txt")}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-2.1", "Unlicense", "Zlib"} <= set(files)
+    texts = [(name, text) for name, several in files.items() for text in several]
+    frame = spark.createDataFrame([(k, "Copyright (c) 2020 A\n\n" + text.replace("\n", "\n * ") if k % 2 else text) for k, (_, text) in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.license for r in license_scan(frame).collect()}
+    assert [found[k] for k in range(len(texts))] == [name for name, _ in texts]
