@@ -12,6 +12,7 @@ from spendfall.llm.chat_format import format_chat, read_back
 from spendfall.llm.exact_topk import exact_topk, scaled
 from spendfall.llm.license_scan import license_scan
 from spendfall.llm.line_dedup import line_dedup
+from spendfall.llm.merkle import fold, leaf_digest, manifest, proof_digest
 from spendfall.llm.near_duplicates import near_duplicates
 from spendfall.llm.oracle import ORACLE
 from spendfall.llm.packing import pack
@@ -107,6 +108,22 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def tampered_manifest(docs: DataFrame) -> DataFrame:
+    """Proofs of all documents, and the roots that they give for documents of which some lost their line feeds."""
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    text, lost = F.col("text"), F.replace("text", F.lit("\n"), F.lit(""))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    leaves = docs.select("doc_id", "source", leaf_digest(*fields, text).alias("leaf"), leaf_digest(*fields, F.when(tampered, lost).otherwise(text)).alias("other"))
+    proven = manifest(leaves, "source", "doc_id", carried=["other"])
+    folded = proven.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), fold(F.col("other"), F.col("proof")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, verified after tampering with some."""
+    return tampered_manifest(_table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -119,6 +136,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_packing": op10_packing,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 

@@ -37,7 +37,7 @@ def test_queries_equal_their_sql(spark, tables, name):
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert {int(name[2:].split("_")[0]) for name in names if name.startswith("op") and name[2].isdigit()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in names if name.startswith("op") and name[2].isdigit()} >= set(range(1, 11))
     assert set(llm_oracle()) <= set(names)
 
 
