@@ -16,6 +16,7 @@ from spendfall.llm.merkle import fold, leaf_digest, manifest, proof_digest
 from spendfall.llm.near_duplicates import near_duplicates
 from spendfall.llm.oracle import ORACLE
 from spendfall.llm.packing import pack
+from spendfall.llm.prefix_trie import end_digests, prefix_trie, turn_rows, with_shared_starts
 from spendfall.llm.quality_rules import quality_rules
 from spendfall.llm.toxicity import fit, score
 from spendfall.llm.url_filter import Rule, judge_urls, page_edges
@@ -124,6 +125,18 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return tampered_manifest(_table(spark, folder, "documents"))
 
 
+def rebuilt_trie(conversations: DataFrame) -> DataFrame:
+    """The trie of all conversations after shared starts, with digests of those that end at each node."""
+    nodes, ends = prefix_trie(*with_shared_starts(turn_rows(conversations)))
+    digests = nodes.join(end_digests(ends), ["conv_id", "depth"], "left")
+    return digests.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the trie of all conversations."""
+    return rebuilt_trie(_table(spark, folder, "conversations"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -137,6 +150,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_near_duplicates": op9_near_duplicates,
         "op10_packing": op10_packing,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
