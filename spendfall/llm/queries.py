@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendfall.llm.byte_bpe import Coder, decode, encode
 from spendfall.llm.chat_format import format_chat, read_back
+from spendfall.llm.cover_tree import near_embeddings
 from spendfall.llm.exact_topk import exact_topk, scaled
 from spendfall.llm.license_scan import license_scan
 from spendfall.llm.line_dedup import line_dedup
@@ -109,6 +110,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def op11_near_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and groups of vectors that point the same way under one label."""
+    return near_embeddings(_table(spark, folder, "embeddings"))
+
+
 def tampered_manifest(docs: DataFrame) -> DataFrame:
     """Proofs of all documents, and the roots that they give for documents of which some lost their line feeds."""
     fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
@@ -149,6 +155,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_packing": op10_packing,
+        "op11_near_embeddings": op11_near_embeddings,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_prefix_trie": op13_prefix_trie,
     }
