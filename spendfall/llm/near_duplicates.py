@@ -7,11 +7,14 @@ another for all elements of a slice at once; a document is finished as soon as n
 rank can lower any of its minima, after a few ranks for all but short texts.
 
 Texts with equal sets are one node. Nodes that share a band meet in a bucket, but no
-bucket is expanded into pairs: its best connected member is compared with the others on
-the full sets, and what is then still apart is compared with more members in later rounds,
-until all members of every bucket are either in one group or compared one by one. Texts
-with too many shingles that no other candidate has are left out before, as nothing can be
-linked with them; they are most of what would be compared in vain.
+bucket is expanded into pairs. First every node is compared, on the full sets, with the best
+connected node of the largest bucket it is in, then with that of each of its buckets that
+still holds several groups. What is then still apart, and only that, meets by an exact prefix
+filter: of two sets that are similar enough, the rarest shingles of each, as many as it may
+lack of the other and one more, have one in common. Of the nodes of a shingle those outside
+its largest group are held against the others. Nothing is capped. Texts with too many
+shingles that no other candidate has are left out before, as nothing can be linked with
+them; they are most of what would be compared in vain.
 """
 
 from __future__ import annotations
@@ -106,7 +109,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text: str, width: int) -> DataFra
 
 
 def _plausible(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, reach, parts, shingles) of the sets that can have a link at all.
+    """(node, reach, parts, n_shingles, shingles) of the sets that can have a link at all.
 
     A set that shares ``percent`` of a union has so much of itself in common with one other
     set; one with more shingles of its own than the rest is linked with nothing. ``parts``
@@ -129,28 +132,70 @@ def _plausible(sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(reach), list_column(parts.ravel(), np.full(len(parts), PARTS)), batch.column("shingles")], names=["node", "reach", "parts", "shingles"])
 
     found = sets.join(own, "node", "left").select("node", "shingles", "own").mapInArrow(run, "node long, reach long, parts array<int>, shingles array<long>")
-    return found.where(f"100L * reach >= {percent * (100 + percent)}L * size(shingles)")
+    found = found.withColumn("n_shingles", F.size("shingles").cast("long"))
+    return found.where(f"100L * reach >= {percent * (100 + percent)}L * n_shingles")
 
 
-def _apart(members: DataFrame, percent: int) -> DataFrame:
-    """Members of buckets with two groups or more, less those that no size in the bucket lets have a link.
+def _several(rows: DataFrame, key: str) -> DataFrame:
+    """Those keys of ``rows`` under which nodes of two groups or more meet."""
+    return rows.groupBy(key).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(key)
 
-    Two sets of n and m shingles that share i have the similarity i / (n + m - i), and
-    ``reach`` is (100 + percent) times the most that a set can share.
-    """
-    least = members.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
-    able = members.join(least, "bucket").where(f"reach >= {percent}L * (n_shingles + least)").drop("least")
-    several = able.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
-    return able.join(several, "bucket", "left_semi")
 
+def _linked(pairs: DataFrame, plausible: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (u, v) of different groups whose sets share ``percent`` of their union or more.
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (u, v) whose sets share ``percent`` of their union or more."""
-    both = pairs.join(sets.selectExpr("node as u", "shingles as left"), "u").join(sets.selectExpr("node as v", "shingles as right"), "v")
+    Two sets of n and m shingles that share i have the similarity i / (n + m - i). Pairs of
+    which even the smaller counts of each part are too few go before sets are compared.
+    """
+    parts = plausible.select("node", "parts", "n_shingles")
+    first = pairs.distinct().join(parts.selectExpr("node as u", "parts as some", "n_shingles as n"), "u").join(parts.selectExpr("node as v", "parts as others", "n_shingles as m"), "v")
+    most = "aggregate(zip_with(some, others, (a, b) -> least(a, b)), 0L, (s, x) -> s + x)"
+    able = stored(first.where(f"{most} * {100 + percent}L >= {percent}L * (n + m)").select("u", "v"), "pairs")
+    sets = plausible.select("node", "shingles")
+    both = able.join(sets.selectExpr("node as u", "shingles as left"), "u").join(sets.selectExpr("node as v", "shingles as right"), "v")
     common = both.select("u", "v", F.size(F.array_intersect("left", "right")).alias("same"), (F.size("left") + F.size("right")).alias("total"))
     return common.where(f"100L * same >= {percent}L * (total - same)").select("u", "v")
 
 
+def _able(percent: int) -> str:
+    """Whether the sizes of two sets, and what each shares with any other, leave room for a link."""
+    return f"least(reach, most) >= {percent}L * (n_shingles + size)"
+
+
+def _grouped(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with the groups that ``links`` and their present ones make together."""
+    known = nodes.where("component <> node").select(F.col("node").alias("u"), F.col("component").alias("v"))
+    reached = components(links.union(known)).withColumnRenamed("component", "to")
+    return nodes.join(reached, "node", "left").withColumn("component", F.coalesce("to", "node")).drop("to")
+
+
+def _starred(nodes: DataFrame, buckets: DataFrame, plausible: DataFrame, percent: int) -> DataFrame:
+    """Groups after every node of ``buckets`` (node, bucket, ...) is compared with the best connected one in each."""
+    centre = buckets.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("back"), "n_shingles", "reach", "component")).alias("c"))
+    centre = centre.select("bucket", (-F.col("c.back")).alias("u"), F.col("c.n_shingles").alias("size"), F.col("c.reach").alias("most"), F.col("c.component").alias("of"))
+    pairs = buckets.join(centre, "bucket").where(f"component <> of and {_able(percent)}").select("u", F.col("node").alias("v"))
+    return stored(_grouped(nodes, _linked(pairs, plausible, percent)), "nodes")
+
+
+def _by_prefix(nodes: DataFrame, plausible: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` of different groups that have one of their rarest shingles in common.
+
+    All that are similar enough are among them: sets that lack a shingle of each other's
+    rarest n - ceil(n * percent / 100) + 1 share too few of the rest.
+    """
+    own = nodes.select("node", "n_shingles", "reach", "component").join(plausible.select("node", "shingles"), "node")
+    each = own.select("node", "n_shingles", "reach", "component", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("n"))
+    ranked = each.join(common, "shingle").withColumn("rank", F.expr("row_number() over (partition by node order by n, shingle)"))
+    prefix = stored(ranked.where(f"n > 1 and rank <= n_shingles - ceil(n_shingles * {percent} / 100) + 1").drop("n", "rank"), "prefixes")
+    groups = prefix.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    main = groups.groupBy("shingle").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("groups")).where("groups > 1")
+    open_ = prefix.join(main, "shingle")
+    minor = open_.where("component <> main").select("shingle", F.col("node").alias("u"), F.col("n_shingles").alias("size"), F.col("reach").alias("most"), F.col("component").alias("of"))
+    met = open_.join(minor, "shingle").where(f"component <> of and (component = main or u < node) and {_able(percent)}")
+    return met.select("u", F.col("node").alias("v"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -176,49 +221,30 @@ def near_duplicates(
     some = marked.where("id is not null and n_shingles > 0")
     classes = stored(some.groupBy("low", "high").agg(F.min("id").alias("node")), "classes")
     heads = some.join(classes, ["low", "high"]).where("id = node").select("node", "n_shingles", "bands").dropDuplicates(["node"])
-    places_of = stored(heads.select("node", "n_shingles", F.explode("bands").alias("bucket")), "bands")
+    places_of = stored(heads.select("node", F.explode("bands").alias("bucket")), "bands")
     shared = places_of.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(places_of.join(shared, "bucket"), "buckets")
+    met = places_of.join(shared, "bucket").groupBy("node").agg(F.collect_list(F.struct("n", "bucket")).alias("buckets"), F.sum("n").alias("degree"))
+    members = stored(met, "members")
     dropped(places_of)
     sets = stored(shingle_sets(docs.join(members.select(F.col("node").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), id_col, text, width), "sets")
     plausible = stored(_plausible(sets, percent), "plausible")
     dropped(sets)
-    # the original of a family of edited copies shares most bands with most of them
-    members = members.join(plausible.select("node", "reach", "parts"), "node")
-    degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    open_ = stored(_apart(members.join(degree, "node").select("bucket", "node", "n_shingles", "reach", "parts", "degree", F.col("node").alias("component")), percent), "open")
-    labels = None
-    centres = 1
-    while not open_.isEmpty():
-        if centres == 1:
-            first = open_.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("back"), "n_shingles", "reach", "parts", "component")).alias("c"))
-            middle = first.select("bucket", (-F.col("c.back")).alias("u"), F.col("c.n_shingles").alias("size"), F.col("c.reach").alias("most"), F.col("c.parts").alias("shared"), F.col("c.component").alias("of"))
+    # one row a node, with all its buckets; the original of a family of edited copies shares most bands with most of them
+    nodes = stored(members.join(plausible.select("node", "reach", "n_shingles"), "node").withColumn("component", F.col("node")), "nodes")
+    dropped(members)
+    known = ["node", "n_shingles", "reach", "degree", "component"]
+    nodes = _starred(nodes, nodes.select(*known, F.array_max("buckets")["bucket"].alias("bucket")), plausible, percent)
+    for last in (False, True):
+        buckets = nodes.select(*known, F.explode("buckets.bucket").alias("bucket"))
+        open_ = buckets.join(_several(buckets, "bucket"), "bucket", "left_semi")
+        if last:
+            rest = nodes.join(open_.select("node").distinct(), "node", "left_semi")
+            nodes = stored(_grouped(nodes, _linked(_by_prefix(rest, plausible, percent), plausible, percent)), "nodes")
         else:
-            ranked = open_.select("*", F.expr("row_number() over (partition by bucket order by degree desc, node)").alias("nth")).where(f"nth <= {centres}")
-            middle = ranked.select("bucket", F.col("node").alias("u"), F.col("n_shingles").alias("size"), F.col("reach").alias("most"), F.col("parts").alias("shared"), F.col("component").alias("of"))
-        middle = stored(middle, "centres")
-        pairs = (
-            open_.join(middle, "bucket")
-            .where(
-                f"component <> of and least(reach, most) >= {percent}L * (n_shingles + size)"
-                f" and aggregate(zip_with(parts, shared, (a, b) -> least(a, b)), 0L, (s, v) -> s + v) * {100 + percent}L >= {percent}L * (n_shingles + size)"
-            )
-            .select("u", F.col("node").alias("v"))
-            .distinct()
-        )
-        links = _linked(pairs, plausible, percent)
-        if labels is not None:
-            links = links.union(labels.toDF("u", "v"))
-        labels = stored(components(links), "labels")
-        done = middle.select("bucket", F.col("u").alias("node"))
-        rest = open_.drop("component").join(done, ["bucket", "node"], "left_anti").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        then = stored(_apart(rest, percent), "open")
-        dropped(open_, middle)
-        open_, centres = then, centres * 8
-    dropped(plausible, open_)
-    groups = classes.withColumn("component_id", F.col("node"))
-    if labels is not None:
-        groups = classes.join(labels, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
+            nodes = _starred(nodes, open_, plausible, percent)
+    labels = stored(nodes.select("node", "component"), "labels")
+    dropped(plausible, nodes)
+    groups = classes.join(labels, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     found = marked.join(groups.select("low", "high", "component_id"), ["low", "high"], "left").select(
         F.col("id").alias(id_col),
         "n_shingles",
