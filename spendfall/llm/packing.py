@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendfall.llm.store import small_batches
+from spendfall.llm.store import small_batches, stored
 from spendfall.llm.textbytes import Texts, slices
 
 
@@ -118,7 +118,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", plan: Plan
     of two equal pieces of one id comes first. Other columns are not looked at.
     """
     plan = plan or Plan()
-    cut = pieces(docs, id_col, text, max(plan.lengths))
+    # equal pieces are counted and dealt out by their number, so that they do not meet in one shard
+    key = ["id", "piece", "start", "size", "mark"]
+    counted = pieces(docs, id_col, text, max(plan.lengths)).groupBy(*key).agg(F.count("*").alias("copies"))
+    cut = stored(counted.select(*key, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")), "pieces")
     total = cut.agg(F.sum(F.greatest("size", F.lit(1)))).first()[0] or 0
     shards = max(1, -(-total // plan.shard_words))
 
@@ -137,6 +140,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", plan: Plan
         length[some:] = int(length[:some][at][0]) if some else min(plan.lengths)
         return frame.assign(sequence=sequence, offset=offset, length=length, content=content)[["shard", "sequence", "offset", "length", "content", "id", "piece", "start", "size"]]
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("mark", "id", "piece"), F.lit(shards)))
-    packed = dealt.groupBy("shard").applyInPandas(run, "shard long, sequence long, offset long, length long, content long, id long, piece int, start int, size int")
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("mark", "id", "piece", "copy"), F.lit(shards)))
+    packed = dealt.drop("copy").groupBy("shard").applyInPandas(run, "shard long, sequence long, offset long, length long, content long, id long, piece int, start int, size int")
     return packed.withColumnRenamed("id", id_col)

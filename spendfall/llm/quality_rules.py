@@ -49,7 +49,7 @@ CLASS_OF = _class_table()
 
 @dataclass(frozen=True)
 class Limits:
-    """Distances are between 0 and 1. A limit is ``base + slack / sqrt(words)``."""
+    """Distances are between 0 and 1. A limit is ``base + slack / sqrt(words) + few / sqrt(documents of the language)``."""
 
     least_words: int = 30
     class_base: float = 0.16
@@ -57,8 +57,7 @@ class Limits:
     word_base: float = 0.30
     word_slack: float = 1.5
     common_words: int = 60
-    #: A language with fewer documents has no reference; nothing of it is rejected by distance.
-    least_documents: int = 50
+    few: float = 1.0
 
 
 def _repeats(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -167,6 +166,8 @@ class Reference:
 
 
 WORD, CLASS, DOCUMENTS, WORDS = range(4)
+#: Shares are summed as whole numbers, so that sums do not depend on the order of rows.
+UNIT = 1 << 24
 #: Word counts are summed in each task up to so many entries, then handed on.
 HELD = 1_500_000
 
@@ -193,7 +194,7 @@ def histogram_sums(docs: DataFrame, text: str, lang: str, limits: Limits) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
         held: tuple[list, list, list] = ([], [], [])
-        sums: dict[tuple[int, int, int], float] = {}
+        sums: dict[tuple[int, int, int], int] = {}
 
         def words_out() -> pa.RecordBatch:
             language, key, value = _summed(*held)
@@ -209,15 +210,15 @@ def histogram_sums(docs: DataFrame, text: str, lang: str, limits: Limits) -> Dat
                 starts, ends = texts.words()
                 counts = texts.counts(starts)
                 enough = counts >= limits.least_words
-                shares = _shares(class_histograms(texts))
+                shares = np.rint(_shares(class_histograms(texts)) * UNIT).astype(np.int64)
                 for code in np.unique(language[enough]):
                     own = enough & (language == code)
                     for kind, key, value in [(DOCUMENTS, 0, own.sum()), (WORDS, 0, counts[own].sum()), *((CLASS, k, v) for k, v in enumerate(shares[own].sum(0)))]:
-                        sums[code, kind, key] = sums.get((code, kind, key), 0.0) + float(value)
+                        sums[code, kind, key] = sums.get((code, kind, key), 0) + int(value)
                 words = texts.hashes(starts, ends)
                 owner = np.repeat(np.arange(len(texts)), counts)
                 use = enough[owner]
-                some = _summed([language[owner[use]]], [words[use]], [np.ones(use.sum())])
+                some = _summed([language[owner[use]]], [words[use]], [np.ones(use.sum(), np.int64)])
                 for store, values in zip(held, some, strict=True):
                     store.append(values)
                 if sum(map(len, held[1])) > HELD:
@@ -232,29 +233,28 @@ def histogram_sums(docs: DataFrame, text: str, lang: str, limits: Limits) -> Dat
             code, kind, key = map(np.array, zip(*sums, strict=True))
             yield _batch(np.array(list(names), object)[code], kind, key, np.array(list(sums.values())))
 
-    return docs.select(text, lang).mapInArrow(run, "lang string, kind int, key long, value double")
+    return docs.select(text, lang).mapInArrow(run, "lang string, kind int, key long, value long")
 
 
 def _batch(lang: np.ndarray, kind: np.ndarray, key: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind.astype(np.int32)), pa.array(key.astype(np.int64)), pa.array(value.astype(float))], names=["lang", "kind", "key", "value"])
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind.astype(np.int32)), pa.array(key.astype(np.int64)), pa.array(value.astype(np.int64))], names=["lang", "kind", "key", "value"])
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits | None = None) -> DataFrame:
-    """(language, classes, common): the reference of every language with ``least_documents`` or more, however few of all they are."""
+    """(language, documents, classes, common): the reference of every language, from its documents of ``least_words`` words or more."""
     limits = limits or Limits()
     sums = stored(histogram_sums(docs, text, lang, limits).groupBy("lang", "kind", "key").agg(F.sum("value").alias("value")), "histograms")
     large = stored(
         sums.where(f"kind in ({DOCUMENTS}, {WORDS})")
         .groupBy("lang")
-        .agg(F.sum(F.when(F.col("kind") == DOCUMENTS, F.col("value"))).alias("documents"), F.sum(F.when(F.col("kind") == WORDS, F.col("value"))).alias("words"))
-        .where(f"documents >= {limits.least_documents}"),
+        .agg(F.sum(F.when(F.col("kind") == DOCUMENTS, F.col("value"))).alias("documents"), F.sum(F.when(F.col("kind") == WORDS, F.col("value"))).alias("words")),
         "languages",
     )
     # a common word is a thousandth of the words or more, hence at most a thousand a language
     some = sums.join(large, "lang").where(f"kind = {CLASS} or (kind = {WORD} and value >= words / 1000)")
-    classes = F.when(F.col("kind") == CLASS, F.struct("key", (F.col("value") / F.col("documents")).alias("share")))
+    classes = F.when(F.col("kind") == CLASS, F.struct("key", (F.col("value") / UNIT / F.col("documents")).alias("share")))
     common = F.when(F.col("kind") == WORD, F.struct((-F.col("value")).alias("minus"), "key", (F.col("value") / F.col("words")).alias("share")))
-    found = some.groupBy(F.col("lang").alias("language")).agg(
+    found = some.groupBy(F.col("lang").alias("language"), "documents").agg(
         F.collect_list(classes).alias("classes"), F.slice(F.array_sort(F.collect_list(common)), 1, limits.common_words).alias("common")
     )
     found = stored(found, "references")
@@ -276,7 +276,8 @@ def judge(docs: DataFrame, known: DataFrame, text: str = "text", lang: str = "la
 
     A null or empty text has no words, fails the base rules and is not kept. A null language
     counts as one of its own. Distances are null where the text has fewer than
-    ``least_words`` words or the language has no reference; they then reject nothing. Columns of
+    ``least_words`` words; they then reject nothing. Limits are the wider the fewer documents
+    the language has, so that a small one is not judged by the chance of its few texts. Columns of
     ``docs`` named like the new ones are replaced, all others stay.
     """
     small_batches(docs.sparkSession)
@@ -298,7 +299,7 @@ def judge(docs: DataFrame, known: DataFrame, text: str = "text", lang: str = "la
                 n = found["n_words"]
                 failed = (n < LEAST_WORDS) | (100 * found["n_repeat_words"] > REPEAT_PERCENT * n)
                 _, index = _language_index(part.column(lang))
-                classes, words = np.full(len(texts), np.nan), np.full(len(texts), np.nan)
+                classes, words, documents = (np.full(len(texts), x) for x in (np.nan, np.nan, 1.0))
                 histogram = _shares(class_histograms(texts))
                 enough = n >= limits.least_words
                 own_classes, own_common = part.column(len(names)), part.column(len(names) + 1)
@@ -310,13 +311,14 @@ def judge(docs: DataFrame, known: DataFrame, text: str = "text", lang: str = "la
                     rows = np.flatnonzero(enough & (index == k))
                     if not len(rows):
                         continue
+                    documents[rows] = part.column(len(names) + 2)[int(first[k])].as_py()
                     classes[rows] = jensen_shannon(histogram[rows], reference.classes[None])
                     if k in common:
                         size = len(reference.words)
                         own = by_word[rows][:, [*range(size), limits.common_words]]
                         words[rows] = jensen_shannon(_shares(own), reference.shares[None])
-                root = 1 / np.sqrt(np.maximum(n, 1))
-                far = (classes > limits.class_base + limits.class_slack * root) | (words > limits.word_base + limits.word_slack * root)
+                root, few = 1 / np.sqrt(np.maximum(n, 1)), limits.few / np.sqrt(documents)
+                far = (classes > limits.class_base + limits.class_slack * root + few) | (words > limits.word_base + limits.word_slack * root + few)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(names)], *(pa.array(found[name].astype(np.int64)) for name in counts), pa.array(failed), pa.array(classes, from_pandas=True), pa.array(words, from_pandas=True), pa.array(~failed & ~far)],
                     names=out.names,
@@ -324,7 +326,7 @@ def judge(docs: DataFrame, known: DataFrame, text: str = "text", lang: str = "la
 
     # as in ``_language_index``, no language is the empty one
     joined = docs.join(known, F.coalesce(docs[lang].cast("string"), F.lit("")) == known["language"], "left")
-    return joined.select(*(docs[name] for name in names), known["classes"], known["common"]).mapInArrow(run, out)
+    return joined.select(*(docs[name] for name in names), known["classes"], known["common"], known["documents"]).mapInArrow(run, out)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits | None = None) -> DataFrame:

@@ -245,7 +245,8 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, learn: str = "true") -> Model:
     """Train on labelled rows for which the SQL condition ``learn`` on ``doc_id`` holds.
 
-    Rows are drawn by a hash of the id, at most as many as ``settings`` says. Rows with a
+    Rows are drawn by a hash of the id, at most as many as ``settings`` says; of several texts
+    under one id the first in order is used. Rows with a
     null id, label or text are not used. Without two texts of each class the model scores
     every text with the share of toxic labels.
     """
@@ -256,12 +257,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, le
         return Model(settings, prior=1.0 if totals.get(1) else 0.0)
     draw = F.xxhash64("doc_id")
     chosen = usable.where("toxic = 1").orderBy(draw, "doc_id").limit(settings.toxic_rows).union(usable.where("toxic = 0").orderBy(draw, "doc_id").limit(settings.ordinary_rows))
-    # at most toxic_rows + ordinary_rows ids
+    # at most toxic_rows + ordinary_rows ids, and one text of each
     rows = (
         docs.select("doc_id", "text")
         .where(f"text is not null and length(text) <= {settings.train_chars}")
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "toxic", "text")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     rows = sorted({r["text"]: (r["doc_id"], r["toxic"], r["text"]) for r in sorted(rows)}.values())

@@ -86,8 +86,10 @@ def judge_urls(pages: DataFrame, edges: DataFrame, rules: list[Rule], url: str =
     groups = urls.groupBy("alias").agg(F.max(F.coalesce(decision == "allow", F.lit(False))).alias("allowed"), F.max(F.coalesce(decision == "block", F.lit(False))).alias("blocked"))
     # only what a component changes has to be known
     blocked = groups.where("blocked and not allowed").select("alias", F.lit("block").alias("by_alias"))
-    known = urls.join(blocked, "alias", "left").withColumnRenamed("node", url)
+    known = urls.join(blocked, "alias", "left")
     host, path = host_and_path(F.col(url))
+    # the page's own columns stay apart from those that are worked with
+    rows = pages.select(F.struct(*(pages[name] for name in pages.columns)).alias("page"), F.col(url).alias("node"), host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    judged = pages.withColumn("host", host).withColumn("path", path).withColumn("rule", rule).withColumn("own", verdict).join(known, url, "left")
-    return judged.select(*pages.columns, "host", "path", "rule", F.coalesce("own", "by_alias", F.lit("allow")).alias("verdict"), F.coalesce("alias", url).alias("alias"))
+    judged = rows.select("*", rule.alias("rule"), verdict.alias("own")).join(known, "node", "left")
+    return judged.select("page.*", "host", "path", "rule", F.coalesce("own", "by_alias", F.lit("allow")).alias("verdict"), F.coalesce("alias", "node").alias("alias"))

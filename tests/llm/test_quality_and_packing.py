@@ -41,13 +41,24 @@ def _greek(seed: int) -> str:
 
 
 def test_rare_languages_are_not_judged_by_others(spark):
-    """Sixty clean documents among many, ten of a language too small for a reference, and many without a language."""
+    """Sixty clean documents among many, ten of a language with few others, and many without a language."""
     data = [(k, prose(k, 40), None if k % 2 else "xx", "s", 1) for k in range(70_000, 70_400)]
     data += [(k, _greek(k), "el", "s", 1) for k in range(60)] + [(100 + k, _greek(100 + k), "gr", "s", 1) for k in range(10)]
     data += [(200, prose(200, 120).upper().replace(" ", "!! "), "el", "s", 1)]
     rows = {r.doc_id: r for r in quality_rules(spark.createDataFrame(data, DOCS)).collect()}
     assert all(rows[k].kept and rows[k].class_distance < 0.2 for k in range(60)) and not rows[200].kept
-    assert all(rows[100 + k].kept and rows[100 + k].class_distance is None for k in range(10))
+    assert all(rows[100 + k].kept and rows[100 + k].class_distance < 0.2 for k in range(10))
+
+
+def test_nothing_jumps_with_the_size_of_a_language(spark):
+    """The same odd document among 40 to 60 others, and alone: distances and verdicts follow the size step by step."""
+    odd = prose(200, 120).upper().replace(" ", "!! ")
+    data = [(n * 1000 + k, prose(k, 120), f"x{n}", "s", 1) for n in (40, 49, 50, 60) for k in range(n)] + [(n * 1000 + 999, odd, f"x{n}", "s", 1) for n in (0, 40, 49, 50, 60)]
+    rows = {r.doc_id: r for r in quality_rules(spark.createDataFrame(data, DOCS)).collect()}
+    far = [rows[n * 1000 + 999].class_distance for n in (40, 49, 50, 60)]
+    assert max(far) - min(far) < 0.02 and not any(rows[n * 1000 + 999].kept for n in (40, 49, 50, 60))
+    assert rows[999].class_distance < 1e-6 and rows[999].kept
+    assert all(rows[n * 1000 + k].kept for n in (40, 49, 50, 60) for k in range(n))
 
 
 def test_a_small_share_of_the_documents_is_enough_for_a_reference(spark):
@@ -58,6 +69,14 @@ def test_a_small_share_of_the_documents_is_enough_for_a_reference(spark):
     assert all(abs(alone[k][0] - among[k][0]) < 1e-9 and among[k][1] for k in range(60))
 
 
+def test_equal_rows_do_not_meet_in_one_shard(spark):
+    data = [(7, "same words again", "e", "s", 1)] * 2000 + [(k, prose(k, 3), "e", "s", 1) for k in range(2000)]
+    frame = pack(spark.createDataFrame(data, DOCS), plan=Plan(shard_words=1000)).toPandas()
+    assert len(frame) == 4000
+    sizes = frame.groupby("shard")["size"].sum()
+    assert len(sizes) >= 10 and sizes.max() < 3 * sizes.median()
+
+
 def test_no_rows(spark):
     assert quality_rules(spark.createDataFrame([], DOCS)).count() == 0
 

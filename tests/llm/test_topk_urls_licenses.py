@@ -87,6 +87,16 @@ def test_rules_and_aliases(spark):
     assert judge_urls(frame.limit(0), page_edges(frame.limit(0)), RULES).count() == 0
 
 
+def test_columns_of_pages_stay_what_they_are(spark):
+    pages = spark.createDataFrame([(1, "https://a.com/de/x"), (2, "https://www.a.com/de/x"), (3, None)], "page_id long, url string")
+    names = ["own", "by_alias", "node", "component", "page", "allowed", "blocked"]
+    wide = pages.selectExpr("*", *(f"page_id * 10 as {name}" for name in names))
+    edges = spark.createDataFrame([("https://a.com/de/x", "https://b.net/")], "u string, v string")
+    rows = judge_urls(wide, edges, RULES).collect()
+    assert len(rows) == 3 and all(r[name] == r.page_id * 10 for r in rows for name in names)
+    assert {r.page_id: r.verdict for r in rows} == {1: "block", 2: "block", 3: "allow"}
+
+
 def test_licences_whatever_case_marks_and_spelling(spark):
     mit = KNOWN["MIT"][-1]
     texts = {

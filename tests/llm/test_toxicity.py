@@ -93,3 +93,11 @@ def test_few_labels_still_tell_texts_apart(spark):
     found = {r.doc_id: r.score for r in score(spark.createDataFrame(rows, DOCS), model).collect()}
     # six labels do not part the texts cleanly
     assert sum(found[k] for k in range(6)) / 6 > 2 * sum(found[k] for k in range(6, 40)) / 34
+
+
+def test_many_texts_under_one_labelled_id_count_once(spark):
+    rows = [(1, f"bad word {k}") for k in range(500)] + [(k, f"good day number {k}") for k in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k < 4)) for k in range(1, 12)], "doc_id long, toxic int")
+    model = fit(docs, labels)
+    assert model.prior == 3 / 11 and score(docs, model).count() == len(rows)
