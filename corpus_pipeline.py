@@ -11,7 +11,7 @@ from spendfall.llm.near_duplicates import drop_near_duplicates
 from spendfall.llm.packing import pack
 from spendfall.llm.quality_rules import quality_rules
 from spendfall.llm.queries import HELD_OUT
-from spendfall.llm.store import stored
+from spendfall.llm.store import dropped, stored
 from spendfall.llm.toxicity import fit, score
 
 
@@ -55,10 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; a stage's table is deleted when the next one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, f"stage{k}")
+            dropped(before if k else None)
     return docs
