@@ -149,8 +149,7 @@ def _linked(pairs: DataFrame, plausible: DataFrame, percent: int) -> DataFrame:
     """
     parts = plausible.select("node", "parts", "n_shingles")
     first = pairs.distinct().join(parts.selectExpr("node as u", "parts as some", "n_shingles as n"), "u").join(parts.selectExpr("node as v", "parts as others", "n_shingles as m"), "v")
-    most = "aggregate(zip_with(some, others, (a, b) -> least(a, b)), 0L, (s, x) -> s + x)"
-    able = stored(first.where(f"{most} * {100 + percent}L >= {percent}L * (n + m)").select("u", "v"), "pairs")
+    able = stored(first.where(f"{_most('some', 'others')} * {100 + percent}L >= {percent}L * (n + m)").select("u", "v"), "pairs")
     sets = plausible.select("node", "shingles")
     both = able.join(sets.selectExpr("node as u", "shingles as left"), "u").join(sets.selectExpr("node as v", "shingles as right"), "v")
     common = both.select("u", "v", F.size(F.array_intersect("left", "right")).alias("same"), (F.size("left") + F.size("right")).alias("total"))
@@ -162,6 +161,11 @@ def _able(percent: int) -> str:
     return f"least(reach, most) >= {percent}L * (n_shingles + size)"
 
 
+def _most(some: str, others: str) -> str:
+    """The most that two sets can share by the counts of their parts."""
+    return f"aggregate(zip_with({some}, {others}, (a, b) -> least(a, b)), 0L, (s, x) -> s + x)"
+
+
 def _grouped(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``nodes`` with the groups that ``links`` and their present ones make together."""
     known = nodes.where("component <> node").select(F.col("node").alias("u"), F.col("component").alias("v"))
@@ -181,18 +185,22 @@ def _by_prefix(nodes: DataFrame, plausible: DataFrame, percent: int) -> DataFram
     """Pairs of ``nodes`` of different groups that have one of their rarest shingles in common.
 
     All that are similar enough are among them: sets that lack a shingle of each other's
-    rarest n - ceil(n * percent / 100) + 1 share too few of the rest.
+    rarest n - ceil(n * percent / 100) + 1 share too few of the rest. The first shingle that
+    two sets share also tells how many they can share at most, by its places in both.
     """
-    own = nodes.select("node", "n_shingles", "reach", "component").join(plausible.select("node", "shingles"), "node")
-    each = own.select("node", "n_shingles", "reach", "component", F.explode("shingles").alias("shingle"))
+    own = nodes.select("node", "n_shingles", "reach", "component").join(plausible.select("node", "parts", "shingles"), "node")
+    each = own.select("node", F.explode("shingles").alias("shingle"))
     common = each.groupBy("shingle").agg(F.count("*").alias("n"))
     ranked = each.join(common, "shingle").withColumn("rank", F.expr("row_number() over (partition by node order by n, shingle)"))
-    prefix = stored(ranked.where(f"n > 1 and rank <= n_shingles - ceil(n_shingles * {percent} / 100) + 1").drop("n", "rank"), "prefixes")
+    first = own.drop("shingles").join(ranked, "node").where(f"n > 1 and rank <= n_shingles - ceil(n_shingles * {percent} / 100) + 1").drop("n")
+    prefix = stored(first, "prefixes")
     groups = prefix.groupBy("shingle", "component").agg(F.count("*").alias("n"))
     main = groups.groupBy("shingle").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("groups")).where("groups > 1")
     open_ = prefix.join(main, "shingle")
-    minor = open_.where("component <> main").select("shingle", F.col("node").alias("u"), F.col("n_shingles").alias("size"), F.col("reach").alias("most"), F.col("component").alias("of"))
-    met = open_.join(minor, "shingle").where(f"component <> of and (component = main or u < node) and {_able(percent)}")
+    minor = open_.where("component <> main").select("shingle", F.col("node").alias("u"), F.col("n_shingles").alias("size"), F.col("reach").alias("most"), F.col("component").alias("of"), F.col("rank").alias("place"), F.col("parts").alias("others"))
+    least = f"{percent}L * (n_shingles + size)"
+    may = f"{100 + percent}L * (1 + least(n_shingles - rank, size - place)) >= {least} and {_most('parts', 'others')} * {100 + percent}L >= {least}"
+    met = open_.join(minor, "shingle").where(f"component <> of and (component = main or u < node) and {_able(percent)} and {may}")
     return met.select("u", F.col("node").alias("v"))
 
 
