@@ -50,8 +50,8 @@ def spare_cents(cents: str, remainder_sum: str, missing: str) -> str:
     """SQL for the cents that rounding down leaves over: (sum of remainders + cents * missing) / 10^12.
 
     ``missing`` is what the shares lack to one, at most 10^6 units, so the product is
-    taken in two limbs. Shares that exceed one leave a negative rest, which is not
-    handed out.
+    taken in two limbs. Rules are cut to shares of one at most when they are loaded, so
+    nothing is ever missing from the cents themselves.
     """
     high = f"(({cents} div 1000000L) * {missing})"
     low = f"(({high} % 1000000L) * 1000000L + ({cents} % 1000000L) * {missing} + {remainder_sum})"

@@ -24,8 +24,9 @@ from spendfall.functions.money import (
 from spendfall.operators.lookup import BROADCAST_BYTES, row_bytes, salted_join
 from spendfall.operators.strategies import (
     ANY_LINE,
+    WINDOW_TARGETS,
     fallback_candidates,
-    split_outcomes,
+    split_large_outcomes,
     usage_candidates,
 )
 from spendfall.operators.usage import usage_index
@@ -66,6 +67,7 @@ def split_table(
     *,
     array_targets: int = ARRAY_TARGETS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    window_targets: int = WINDOW_TARGETS,
 ) -> Splits:
     """Work out every split once, store it, and measure it to choose the join of the hops."""
     index = usage_index(usage)
@@ -74,7 +76,7 @@ def split_table(
     candidates = usage_candidates(index, rules)
     if rules.fallback_versions:
         candidates = candidates.unionByName(fallback_candidates(towers, rules))
-    stored = materialize(split_outcomes(candidates))
+    stored = materialize(split_large_outcomes(materialize(candidates), window_targets))
     return measured(stored, array_targets=array_targets, broadcast_bytes=broadcast_bytes)
 
 

@@ -28,6 +28,20 @@ def table_bytes(frame: DataFrame) -> int:
     return frame.agg(F.coalesce(F.sum(row_bytes(frame)), F.lit(0))).first()[0]
 
 
+#: What has been measured, by application, plan and files.
+_measured: dict[tuple, int] = {}
+
+
+def known_bytes(frame: DataFrame) -> int:
+    """``table_bytes``, measured once for the same query over the same files."""
+    key = (frame.sparkSession.sparkContext.applicationId, frame.semanticHash(), tuple(frame.columns), tuple(sorted(frame.inputFiles())))
+    if not key[-1]:
+        return table_bytes(frame)
+    if key not in _measured:
+        _measured[key] = table_bytes(frame)
+    return _measured[key]
+
+
 def hot_keys(frame: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
     """Keys holding more than 1/``parts`` of the rows, and how many slices each needs.
 
@@ -85,7 +99,7 @@ def lookup_join(
     The shuffle join reads ``left`` once and leaves hot keys to the adaptive skew join;
     only a session that has it switched off pays for counting keys and salting.
     """
-    if table_bytes(right) <= broadcast_bytes:
+    if known_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), list(keys), how)
     conf = left.sparkSession.conf
     if all(conf.get(f"spark.sql.adaptive.{name}") == "true" for name in ("enabled", "skewJoin.enabled")):

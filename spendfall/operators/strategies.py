@@ -2,9 +2,9 @@
 
 Every strategy reduces to integer raw weights per (rule_version, step, from_id, to_id).
 ``split_outcomes`` turns them into shares that add up to exactly one, or into the
-reason why the source cannot be split. The largest group any window here sees is the
-targets of one source, after usage rows have been summed: at most one row per
-application or business unit, whatever the number of usage rows.
+reason why the source cannot be split. Sources of up to ``WINDOW_TARGETS`` targets, after
+usage rows have been summed, are worked out by windows over a source; for larger ones the
+same result comes from histograms of remainders and ranks by ranges, over many tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from spendfall.functions.money import UNITS_PER_ONE, from_units
+from spendfall.operators.ranking import ranked
 from spendfall.schemas import (
     CONSUMPTION,
     DRIVER_ZERO,
@@ -22,11 +23,15 @@ from spendfall.schemas import (
     MANUAL_OVERRIDE,
     WEIGHTED,
 )
+from spendfall.session import materialize
 from spendfall.sources.rule_files import RuleSet
 
 NODE = ["rule_version", "step", "from_id"]
 # Source id standing for every unmapped ledger line in the fallback of the first step.
 ANY_LINE = "*"
+#: Targets of a source that one window sorts, and slots of the histogram of a larger one's remainders.
+WINDOW_TARGETS = 100_000
+SLOTS = 4096
 
 
 def _raw_signal() -> "F.Column":
@@ -139,6 +144,62 @@ def normalize_shares(candidates: DataFrame) -> DataFrame:
     return split.select(*NODE, "strategy", "to_id", "raw", units.cast("bigint").alias("units"))
 
 
+def normalize_large_shares(candidates: DataFrame) -> DataFrame:
+    """The result of :func:`normalize_shares` for sources of any number of targets.
+
+    The remainders of a source are counted in slots. The units left over go to whole slots
+    from the top, as far as they reach; only the targets of the slot in which they run out
+    are ranked, by ranges, as thousands of them may have the same remainder.
+    ``candidates`` are read several times and should be stored.
+    """
+    scaled = F.col("raw") * F.lit(UNITS_PER_ONE).cast("decimal(13,0)")
+    declared = F.col("strategy") == MANUAL_OVERRIDE
+    totals = candidates.groupBy(*NODE).agg(F.sum("raw").cast("decimal(26,0)").alias("total"))
+    shared = ~declared & (F.col("total") > 0)
+    slot = F.call_function("div", F.col("remainder") * F.lit(SLOTS).cast("decimal(5,0)"), F.col("total"))
+    parts = (
+        candidates.join(totals, NODE)
+        .withColumn("floor_units", F.when(declared, F.col("raw").cast("bigint")).when(shared, F.call_function("div", scaled, F.col("total"))))
+        .withColumn("remainder", F.when(shared, (scaled % F.col("total")).cast("decimal(26,0)")))
+        .withColumn("slot", F.when(shared, slot))
+    )
+    slots = parts.where("slot IS NOT NULL").groupBy(*NODE, "slot").agg(F.count(F.lit(1)).alias("targets"), F.sum("floor_units").alias("units"))
+    node = W.partitionBy(*NODE)
+    above = F.coalesce(F.sum("targets").over(node.orderBy(F.desc("slot")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cuts = (
+        slots.withColumn("above", above)
+        .withColumn("spare", F.lit(UNITS_PER_ONE) - F.sum("units").over(node))
+        .where("above < spare AND spare <= above + targets")
+        .select(*NODE, F.col("slot").alias("cut"), (F.col("spare") - F.col("above")).alias("needed"))
+    )
+    marked = parts.join(cuts, NODE, "left")
+    columns = [*NODE, "strategy", "to_id", "raw"]
+    clear = marked.where("slot IS NULL OR cut IS NULL OR slot <> cut").select(
+        *columns, (F.col("floor_units") + F.when(F.col("slot") > F.col("cut"), 1).otherwise(0)).cast("bigint").alias("units")
+    )
+    tied = marked.where("slot = cut").select(*columns, "floor_units", "remainder", "needed")
+    placed = ranked(tied, NODE, [F.desc("remainder"), F.desc("raw"), F.asc("to_id")])
+    return clear.unionByName(placed.select(*columns, (F.col("floor_units") + F.when(F.col("rank") < F.col("needed"), 1).otherwise(0)).cast("bigint").alias("units")))
+
+
+def _placed_by_ranges(shares: DataFrame) -> DataFrame:
+    """``shares`` with the place of every target in its source, and what the source lacks to one."""
+    missing = shares.groupBy(*NODE).agg((F.lit(UNITS_PER_ONE) - F.sum("units")).alias("missing"))
+    placed = ranked(shares, NODE, [F.desc("units"), F.asc("to_id")]).withColumn("place", F.col("rank").cast("int")).drop("rank")
+    return placed.join(missing, NODE)
+
+
+def split_large_outcomes(candidates: DataFrame, window_targets: int = WINDOW_TARGETS) -> DataFrame:
+    """:func:`split_outcomes` for stored candidates: sources of more targets than a window should sort go by ranges."""
+    sizes = candidates.groupBy(*NODE).agg(F.count(F.lit(1)).alias("targets"))
+    large = sizes.where(F.col("targets") > window_targets).select(*NODE)
+    if large.isEmpty():
+        return split_outcomes(candidates)
+    large = materialize(large)
+    shares = materialize(normalize_large_shares(candidates.join(large, NODE, "left_semi")))
+    return split_outcomes(candidates.join(large, NODE, "left_anti")).unionByName(_outcomes(_placed_by_ranges(shares)))
+
+
 def split_outcomes(candidates: DataFrame) -> DataFrame:
     """One row per source and target, or one row with a reason and no target.
 
@@ -148,11 +209,14 @@ def split_outcomes(candidates: DataFrame) -> DataFrame:
     are kept only for declared proportions, where they may still be handed a cent.
     """
     node = W.partitionBy(*NODE)
-    placed = (
+    return _outcomes(
         normalize_shares(candidates)
         .withColumn("place", F.row_number().over(node.orderBy(F.desc("units"), F.asc("to_id"))) - 1)
         .withColumn("missing", F.lit(UNITS_PER_ONE) - F.sum("units").over(node))
     )
+
+
+def _outcomes(placed: DataFrame) -> DataFrame:
     dead = F.col("units").isNull()
     return placed.where(
         F.when(dead, F.col("place") == 0).otherwise((F.col("units") > 0) | (F.col("strategy") == MANUAL_OVERRIDE))

@@ -103,8 +103,8 @@ class Model:
         return star.Star(self.spark, self.sf_dir)
 
     @cached_property
-    def bronze(self) -> dict[str, DataFrame]:
-        return star.star_bronze(self.star)
+    def bronze(self) -> star.Bronze:
+        return star.Bronze(self.star)
 
     @cached_property
     def conformed(self) -> Conformed:

@@ -39,6 +39,8 @@ PROPORTION_TOLERANCE = Decimal("0.000001")
 PROPORTION_DIGITS = 12
 # Whole numbers that the weights of one step may add up to on their common scale.
 LARGEST_TOTAL = Decimal(10) ** 25
+#: Digits before the point that a declared value can have, as its column holds no more.
+WHOLE_DIGITS = 20
 BASIS = "cost_center_mapping"
 
 
@@ -132,6 +134,37 @@ def _number(value: object, where: str) -> Decimal:
     return number
 
 
+def _decimals(value: Decimal) -> int:
+    """Places after the point that are needed, however many digits the number has."""
+    _, digits, exponent = value.as_tuple()
+    zeros = len(digits) - len("".join(map(str, digits)).rstrip("0"))
+    return max(0, -(exponent + zeros)) if value else 0
+
+
+def _scaled(value: Decimal, digits: int) -> int:
+    """value * 10^digits, in whole numbers; the value needs no more than that many decimals."""
+    sign, figures, exponent = value.as_tuple()
+    whole, power = int("".join(map(str, figures))), exponent + digits
+    scaled = whole * 10**power if power >= 0 else whole // 10**-power
+    return -scaled if sign else scaled
+
+
+def _without_excess(units: dict[str, int]) -> dict[str, int]:
+    """Proportions that exceed one by no more than the tolerance, cut to one at the largest, of equal ones the first.
+
+    What a rule hands out can then never be more than what there is.
+    """
+    excess = sum(units.values()) - 10**PROPORTION_DIGITS
+    if not 0 < excess <= int(PROPORTION_TOLERANCE * 10**PROPORTION_DIGITS):
+        return units
+    out = dict(units)
+    for target in sorted(out, key=lambda name: (-out[name], name)):
+        cut = min(excess, max(out[target], 0))
+        out[target] -= cut
+        excess -= cut
+    return out
+
+
 def _param_rows(version_id: str, step: str, strategy: str, params: dict) -> list[tuple]:
     """Declared values, exact, with the whole numbers that stand for them.
 
@@ -140,14 +173,18 @@ def _param_rows(version_id: str, step: str, strategy: str, params: dict) -> list
     """
     where = f"{version_id}: {step}"
     values = {str(target): _number(value, where) for target, value in params.items()}
-    digits = max([0, *(-value.normalize().as_tuple().exponent for value in values.values())])
+    digits = max([0, *(_decimals(value) for value in values.values())])
     if strategy == MANUAL_OVERRIDE:
         if digits > PROPORTION_DIGITS:
             raise RuleError(f"{where}: a proportion has more than {PROPORTION_DIGITS} decimals.")
         digits = PROPORTION_DIGITS
-    raw = {target: int(value.scaleb(digits)) for target, value in values.items()}
-    if sum(abs(x) for x in raw.values()) > LARGEST_TOTAL or digits > 18:
+    if digits > 18 or any(value.adjusted() >= WHOLE_DIGITS for value in values.values() if value):
         raise RuleError(f"{where}: the values span too many digits to be split exactly.")
+    raw = {target: _scaled(value, digits) for target, value in values.items()}
+    if sum(abs(x) for x in raw.values()) > LARGEST_TOTAL:
+        raise RuleError(f"{where}: the values span too many digits to be split exactly.")
+    if strategy == MANUAL_OVERRIDE:
+        raw = _without_excess(raw)
     return [(version_id, step, target, value, Decimal(raw[target])) for target, value in values.items()]
 
 

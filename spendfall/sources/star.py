@@ -14,6 +14,8 @@ and ECONOMY reports zero ordered units.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,6 +203,20 @@ SOURCES = {
 }
 
 
-def star_bronze(star: Star) -> dict[str, DataFrame]:
-    """All six source tables in their bronze types."""
-    return {table: build(star) for table, build in SOURCES.items()}
+class Bronze(Mapping):
+    """The six source tables in their bronze types, each built when it is asked for."""
+
+    def __init__(self, star: Star) -> None:
+        self._star = star
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._built:
+            self._built[table] = SOURCES[table](self._star)
+        return self._built[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SOURCES)
+
+    def __len__(self) -> int:
+        return len(SOURCES)

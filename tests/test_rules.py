@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 
 from conftest import FIXTURES
@@ -138,3 +140,17 @@ def test_coverage_shows_what_a_metric_offers(spark, silver, rules):
     assert found[V1, "tower_to_app"] == (1, 4, "10000.00")
     assert found[V2, "app_to_bu"] == (5, 3, "470.00")
     assert found[V1, "gl_to_tower"] == (0, 0, "0.00")
+
+
+@pytest.mark.parametrize(
+    "value, raw",
+    [("1.0000000000000000000000000000001", None), ("1e21", None), ("1e24", None), ("1e-19", None), ("99999999999999999999", 99999999999999999999), ("1.50", 15), ("12345678901234567890.12345", 1234567890123456789012345), ("1e3", 1000)],
+)
+def test_declared_digits_are_exact_or_refused(spark, value, raw):
+    version = _version(tower_to_app={"strategy": "weighted", "weights": {"A": value}})
+    if raw is None:
+        with pytest.raises(RuleError, match="too many digits"):
+            rule_set([version])
+    else:
+        row = rule_set([version]).params(spark).first()
+        assert (int(row.raw), row.value) == (raw, Decimal(value))

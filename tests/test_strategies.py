@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendfall.operators.cascade import Splits, distribute, measured
-from spendfall.operators.strategies import normalize_shares, split_outcomes, strategy_shares, usage_candidates
+from spendfall.operators.strategies import normalize_shares, split_large_outcomes, split_outcomes, strategy_shares, usage_candidates
 from spendfall.operators.usage import usage_index
 from spendfall.session import materialize
 from spendfall.sources.rule_files import rule_set
@@ -132,3 +134,29 @@ def test_places_beyond_the_packed_key(spark):
     flows = spark.createDataFrame([("G", "v", "A", 1)], "gl_line_id string, rule_version string, from_id string, cents long")
     parts = distribute(flows, Splits(outcomes, frozenset(["app_to_bu"])), "app_to_bu", ["gl_line_id", "rule_version"]).collect()
     assert {r.to_id: r.part for r in parts} == {"HIGH": 1, "LOW": 0}
+
+
+CANDIDATES = "rule_version string, step string, from_id string, strategy string, to_id string, raw decimal(26,0)"
+
+
+def test_large_sources_by_ranges_are_as_by_windows(spark):
+    """Ties by the thousand, one weight for all, dead and declared sources, and one that is alone."""
+    draw = random.Random(3)
+    rows = [("v", "s", "mixed", "weighted", f"T{k}", Decimal(draw.choice([0, 1, 2, 3, 10**9, draw.randrange(10**20)]))) for k in range(3000)]
+    rows += [("v", "s", "even", "even_spread", f"T{k:05d}", Decimal(1)) for k in range(2999)]
+    rows += [("w", "s", "few", "consumption", f"T{k}", Decimal(k % 7)) for k in range(900)]
+    rows += [("w", "s", "dead", "consumption", f"T{k}", Decimal(0)) for k in range(200)]
+    rows += [("w", "s", "declared", "manual_override", f"T{k}", Decimal(10**12 // 700 + (k == 3))) for k in range(700)]
+    rows += [("w", "s", "alone", "even_spread", "T", Decimal(1))]
+    candidates = materialize(spark.createDataFrame(rows, CANDIDATES).repartition(5))
+    by_windows = sorted(map(tuple, split_outcomes(candidates).collect()), key=str)
+    for most in (0, 500, 10_000):
+        assert sorted(map(tuple, split_large_outcomes(candidates, most).collect()), key=str) == by_windows
+
+
+def test_a_source_of_very_many_targets_uses_many_tasks(spark):
+    candidates = materialize(spark.range(300_000).selectExpr("'v' AS rule_version", "'s' AS step", "'T' AS from_id", "'weighted' AS strategy", "concat('A', id) AS to_id", "cast(id % 1000 AS decimal(26,0)) AS raw"))
+    by_ranges = materialize(split_large_outcomes(candidates, 1000))
+    assert by_ranges.agg(F.sum("units")).first()[0] == 10**12
+    assert by_ranges.agg(F.count("place"), F.countDistinct("place"), F.max("place")).first()[0:2] == (299_700, 299_700)
+    assert split_outcomes(candidates).exceptAll(by_ranges).isEmpty()
