@@ -495,6 +495,22 @@ SELECT version_id, step, 'metric_unknown_for_step' FROM (VALUES
 WHERE NOT EXISTS (SELECT 1 FROM usage u WHERE u.step = wanted.step AND u.metric_name = wanted.metric_name)"""
         ),
         "contract_violations": f"WITH {offered} SELECT 'gl_costs' AS table_name, violation, count(*) AS row_count FROM codes GROUP BY violation",
+        "quarantine": """
+WITH offered AS (
+  SELECT ' CC-' || c_custkey || ' ' AS gl_line_id, concat_ws(',',
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'period:pattern' END,
+    CASE WHEN c_nationkey < 10 THEN 'gl_account:pattern' END,
+    CASE WHEN c_acctbal >= 9000 THEN 'cost_center_id:required' END,
+    CASE WHEN c_mktsegment = 'MACHINERY' THEN 'amount_eur:not_a_number' END,
+    CASE WHEN c_mktsegment = 'FURNITURE' THEN 'amount_eur:not_whole_cents' END,
+    CASE WHEN c_mktsegment <> 'MACHINERY' AND
+      (CASE WHEN c_mktsegment = 'FURNITURE' THEN CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) || '5' AS DECIMAL(18,3)) ELSE CAST(c_acctbal AS DECIMAL(18,2)) END) <= 0
+      THEN 'amount_eur:out_of_range' END,
+    CASE WHEN c_nationkey = 3 THEN 'description:required' END) AS reasons
+  FROM customer
+)
+SELECT gl_line_id, reasons, (SELECT count(*) FROM offered WHERE reasons = '') AS sound_count FROM offered WHERE reasons <> ''
+""",
         "conform_dims": f"WITH {CENTERS} {dims}",
         "conform_gl_cost": f"WITH {GL} SELECT gl_line_id, period, gl_account, cost_center_id, amount_eur, tower_id FROM gl",
         "conform_usage": usage_sql("SELECT metric_id, period, step, from_id, to_id, metric_name, value FROM usage"),

@@ -27,12 +27,13 @@ from spendfall.operators.reconcile import (
     require_balanced,
     require_lines_balanced,
 )
+from spendfall.operators.quarantine import require_none_broken, split_sound
 from spendfall.operators.rule_checks import require_governed, rule_violations
 from spendfall.schemas import CONTRACTS, SILVER_TABLES
 from spendfall.session import discard, discard_materialized, materialize, scratch_dir
 from spendfall.sources.csv_exports import check_header, export_path, scan_raw
 from spendfall.sources.rule_files import RuleSet, load_rules
-from spendfall.sources.tables import link_table, read_table, read_tables, write_table
+from spendfall.sources.tables import link_table, publish, read_table, read_tables, write_table
 
 STAGES = ("bronze", "silver", "gold", "residual", "lineage", "reports")
 ALONE = ("gold", "residual", "lineage", "reports")
@@ -51,23 +52,40 @@ class Folders:
 
 
 def ingest(
-    spark: SparkSession, source_dir: str, bronze_dir: str, overrides: Mapping[str, str] | None = None
+    spark: SparkSession,
+    source_dir: str,
+    bronze_dir: str,
+    overrides: Mapping[str, str] | None = None,
+    *,
+    multi_line: bool = False,
+    quarantine_dir: str | None = None,
 ) -> dict[str, str]:
-    """CSV exports to bronze. All tables are checked in one action before the first write."""
+    """CSV exports to bronze, all tables or none.
+
+    All are checked before the first write. With ``quarantine_dir`` each export is read
+    once and its broken rows stay there with the codes of the rules they break; without,
+    only the first of them are told. ``multi_line`` allows line breaks in quoted cells.
+    """
     paths = {table: export_path(source_dir, table, overrides) for table in CONTRACTS}
     for table, path in paths.items():
         check_header(spark, path, table)
-    raws = {table: scan_raw(spark, path, table) for table, path in paths.items()}
-    require_sound(raws)
-    return {table: write_table(typed(raw, table), bronze_dir, table) for table, raw in raws.items()}
+    raws = {table: scan_raw(spark, path, table, multi_line=multi_line) for table, path in paths.items()}
+    if not quarantine_dir:
+        require_sound(raws)
+        return publish({table: typed(raw, table) for table, raw in raws.items()}, bronze_dir)
+    checked = [split_sound(raw, table, quarantine_dir) for table, raw in raws.items()]
+    try:
+        require_none_broken(checked)
+        return publish({source.table: typed(source.sound, source.table) for source in checked}, bronze_dir)
+    finally:
+        discard(spark, *(f"{source.path}/broken=false" if source.broken_count else source.path for source in checked))
 
 
 def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, control_total: Decimal) -> list:
     """Bronze to silver behind the data-quality gate; returns the passed report."""
     conformed = conform(read_tables(spark, bronze_dir, CONTRACTS))
     report = require_passed(quality_report(conformed, control_total))
-    for table in SILVER_TABLES:
-        write_table(conformed.tables[table], silver_dir, table)
+    publish({table: conformed.tables[table] for table in SILVER_TABLES}, silver_dir)
     return report
 
 

@@ -15,6 +15,7 @@ from spendfall.functions.money import from_cents, to_cents
 from spendfall.operators import cascade as cas
 from spendfall.operators import contracts, lineage, quality, reconcile, reports, rule_checks, strategies, usage
 from spendfall.operators.conform import Conformed, conform
+from spendfall.operators.quarantine import split_sound
 from spendfall.schemas import CONTRACTS, GL_TO_TOWER, MONEY, STEPS
 from spendfall.session import scratch_dir
 from spendfall.sources import csv_exports, star, tables
@@ -217,9 +218,9 @@ def scan_table(m: Model) -> DataFrame:
 # --- contracts, conformance, quality -----------------------------------------------
 
 
-def contract_violations(m: Model) -> DataFrame:
+def _offered(m: Model) -> DataFrame:
     """Customers offered as ledger lines: debts are not positive amounts, some fields break patterns."""
-    offered = m.star.table("customer").select(
+    return m.star.table("customer").select(
         F.concat(F.lit(" CC-"), F.col("c_custkey"), F.lit(" ")).alias("gl_line_id"),
         F.when(F.col("c_mktsegment") == "BUILDING", "2026-1").otherwise("2026-01").alias("period"),
         F.concat(F.lit("70"), F.col("c_nationkey")).alias("gl_account"),
@@ -230,7 +231,18 @@ def contract_violations(m: Model) -> DataFrame:
         .alias("amount_eur"),
         F.when(F.col("c_nationkey") == 3, "  ").otherwise(F.col("c_name")).alias("description"),
     )
-    return contracts.violation_counts(offered, "gl_costs")
+
+
+def contract_violations(m: Model) -> DataFrame:
+    """How often the offered lines break each rule."""
+    return contracts.violation_counts(_offered(m), "gl_costs")
+
+
+def quarantine(m: Model) -> DataFrame:
+    """The offered lines that are broken, with all reasons, out of one scan that also writes and counts the sound ones."""
+    found = split_sound(_offered(m), "gl_costs", f"{scratch_dir(m.spark)}/quarantine-{uuid4().hex}")
+    sound = F.lit(found.row_count - found.broken_count).cast("long")
+    return found.broken.select("gl_line_id", F.array_join("violations", ",").alias("reasons"), sound.alias("sound_count"))
 
 
 def conform_dims(m: Model) -> DataFrame:
@@ -400,6 +412,7 @@ MODEL_QUERIES: dict[str, Callable[[Model], DataFrame]] = {
         raw_rule_set(FAULTY_RULES).rules(m.spark), raw_rule_set(FAULTY_RULES).params(m.spark), m.silver["fact_usage_metric"]
     ),
     "contract_violations": contract_violations,
+    "quarantine": quarantine,
     "conform_dims": conform_dims,
     "conform_gl_cost": lambda m: m.gl,
     "conform_usage": lambda m: m.silver["fact_usage_metric"],

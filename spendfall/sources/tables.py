@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -126,3 +127,40 @@ def write_table(
         frame.sortWithinPartitions(*keys).write.format(fmt).mode("overwrite").save(path)
     _keep_note(spark, f"{path}/{SCHEMA_FILE}", frame.schema.json())
     return path
+
+
+def publish(frames: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
+    """Replace several tables of ``folder`` together: all are written beside it before the first is touched.
+
+    A write that fails leaves every table as it was. Then folders are renamed, table by
+    table; if that fails halfway, those already replaced are put back. Should even that
+    fail, what there was lies in the folder ``_earlier-...`` beside them.
+    """
+    spark = next(iter(frames.values())).sparkSession
+    staged, earlier = f"{folder}/_staged-{uuid4().hex}", f"{folder}/_earlier-{uuid4().hex}"
+    files, _ = _files(spark, folder)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    moved = []
+
+    def move(source: str, target: str) -> None:
+        files.mkdirs(at(target).getParent())
+        if not files.rename(at(source), at(target)):
+            raise OSError(f"{source} cannot be renamed to {target}.")
+        moved.append((source, target))
+
+    try:
+        for table, frame in frames.items():
+            write_table(frame, staged, table)
+        for table in frames:
+            if files.exists(at(f"{folder}/{table}")):
+                move(f"{folder}/{table}", f"{earlier}/{table}")
+            move(f"{staged}/{table}", f"{folder}/{table}")
+    except BaseException:
+        back = [files.rename(at(target), at(source)) for source, target in reversed(moved)]
+        if all(back):
+            files.delete(at(earlier), True)
+            files.delete(at(staged), True)
+        raise
+    files.delete(at(earlier), True)
+    files.delete(at(staged), True)
+    return {table: f"{folder}/{table}" for table in frames}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 from pathlib import Path
 
 from decimal import Decimal
@@ -16,7 +17,8 @@ from spendfall.operators.quality import QualityError
 from spendfall.plans import build
 from spendfall.schemas import CONTRACTS, SILVER_TABLES
 from spendfall.sources.csv_exports import HeaderError, check_header, scan_csv
-from spendfall.sources.tables import MissingTable, read_table, write_table
+from spendfall.sources import tables
+from spendfall.sources.tables import MissingTable, publish, read_table, write_table
 
 V1, V2 = "v1_transactions", "v2_named_users"
 
@@ -130,6 +132,56 @@ def test_second_file_of_a_folder_is_checked_too(spark, tmp_path):
         scan_csv(spark, str(folder), "business_units").collect()
 
 
+def test_broken_rows_stay_in_quarantine(spark, tmp_path):
+    source, bronze, kept = write_exports(tmp_path / "source"), tmp_path / "bronze", tmp_path / "kept"
+    broken = {"gl_costs": str(FIXTURES / "gl_costs_malformed.csv")}
+    with pytest.raises(ContractError, match="(?s)gl_costs: [0-9]+ of [0-9]+ rows, kept in .*cost_center_id:required, amount_eur:not_a_number"):
+        build.ingest(spark, str(source), str(bronze), broken, quarantine_dir=str(kept))
+    assert not bronze.exists()
+    rows = spark.read.parquet(f"{kept}/gl_costs").collect()
+    assert rows and all(r.broken and r.violations and r._source_file for r in rows)
+    assert sorted(p.name for p in kept.iterdir()) == ["gl_costs"]
+    written = build.ingest(spark, str(source), str(bronze), quarantine_dir=str(tmp_path / "none"))
+    plain = build.ingest(spark, str(source), str(tmp_path / "plain"))
+    for table, path in written.items():
+        same = read_table(spark, str(bronze), table)
+        assert same.schema == read_table(spark, str(tmp_path / "plain"), table).schema
+        assert sorted(map(str, same.collect())) == sorted(map(str, spark.read.parquet(plain[table]).collect()))
+    assert not list((tmp_path / "none").iterdir())
+
+
+def test_line_breaks_in_quoted_cells_are_read_by_the_stage(spark, tmp_path):
+    source = write_exports(tmp_path / "source")
+    path = tmp_path / "units.csv"
+    path.write_text('bu_id,bu_name\nBU-A,"Alpha\nand more"\n')
+    build.ingest(spark, str(source), str(tmp_path / "bronze"), {"business_units": str(path)}, multi_line=True)
+    assert [r.bu_name for r in read_table(spark, str(tmp_path / "bronze"), "business_units").collect()] == ["Alpha\nand more"]
+
+
+@pytest.mark.parametrize("step", ["write", "rename"])
+def test_a_failure_at_the_fourth_table_leaves_all_six(spark, tmp_path, monkeypatch, step):
+    source, bronze = write_exports(tmp_path / "source"), tmp_path / "bronze"
+    build.ingest(spark, str(source), str(bronze))
+    before = {p.relative_to(bronze): p.read_bytes() for p in bronze.rglob("*") if p.is_file()}
+    frames = {table: read_table(spark, str(bronze), table).limit(1) for table in CONTRACTS}
+    if step == "write":
+        fourth = list(frames)[3]
+        frames[fourth] = frames[fourth].withColumn(frames[fourth].columns[0], F.raise_error(F.lit("lost")).cast("string"))
+    else:
+        real = tables.write_table
+
+        def without_fourth(frame, folder, table):
+            path = real(frame, folder, table)
+            if table == list(frames)[3]:
+                shutil.move(path, f"{path}-gone")
+            return path
+
+        monkeypatch.setattr(tables, "write_table", without_fourth)
+    with pytest.raises(Exception, match="lost|renamed|FileNotFound|does not exist"):
+        publish(frames, str(bronze))
+    assert {p.relative_to(bronze): p.read_bytes() for p in bronze.rglob("*") if p.is_file()} == before
+
+
 def test_quoted_cells_and_extra_cells(spark, tmp_path):
     path = tmp_path / "business_units.csv"
     path.write_text('bu_id,bu_name\nBU-A,"Alpha, ""the"" first"\nBU-B,""\n')
