@@ -353,9 +353,16 @@ pair AS (
 _RAW = "gl_cents * u2 * u3"
 _RAW16 = f"((2 * {_RAW} + 10000000000) // 20000000000)"
 _DRIFT10 = f"((2 * abs({_RAW16} - cents * 100000000000000) + 1000000) // 2000000)"
+# A cent for every hop that divides, passed on by the shares of the hops after it.
+_BOUND10 = "CASE WHEN u2 < 1000000000000 THEN u3 / 10000.0 ELSE 0 END + CASE WHEN u3 < 1000000000000 THEN 100000000 ELSE 0 END"
 _DEC10 = "CAST(CAST({} AS DECIMAL(18,0)) * CAST(0.0000000001 AS DECIMAL(11,10)) AS DECIMAL(28,10))"
 
 
+_CRITICALITY = (
+    "CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN 'low' WHEN p_type IN ('MEDIUM', 'STANDARD') THEN 'med' ELSE 'high' END"
+)
+
+
 def _rounded10(value: str) -> str:
     return f"((2 * abs({value}) + 1000000) // 2000000 * sign({value}))"
 
@@ -396,12 +403,12 @@ offered AS (
     dq_counts = {
         "dim_cost_center_conflicting_pk": "SELECT count(*) FROM (SELECT cost_center_id FROM centers GROUP BY 1 HAVING count(DISTINCT (name, tower_id)) > 1)",
         "dim_resource_tower_conflicting_pk": "SELECT count(*) FROM (SELECT n_nationkey FROM nation GROUP BY 1 HAVING count(DISTINCT (n_name, n_regionkey)) > 1)",
-        "dim_application_conflicting_pk": "SELECT 0",
-        "dim_business_unit_conflicting_pk": "SELECT 0",
+        "dim_application_conflicting_pk": f"SELECT count(*) FROM (SELECT 'APP-' || p_type FROM part GROUP BY 1 HAVING count(DISTINCT (p_type, {_CRITICALITY})) > 1)",
+        "dim_business_unit_conflicting_pk": "SELECT count(*) FROM (SELECT 'BU-' || c_mktsegment FROM customer GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1)",
         "dim_cost_center_pk_unique": "SELECT count(*) FROM (SELECT cost_center_id FROM (SELECT DISTINCT * FROM centers) GROUP BY 1 HAVING count(*) > 1)",
         "dim_resource_tower_pk_unique": "SELECT count(*) FROM (SELECT n_nationkey FROM (SELECT DISTINCT * FROM nation) GROUP BY 1 HAVING count(*) > 1)",
-        "dim_application_pk_unique": "SELECT 0",
-        "dim_business_unit_pk_unique": "SELECT 0",
+        "dim_application_pk_unique": f"SELECT count(*) FROM (SELECT app_id FROM (SELECT DISTINCT 'APP-' || p_type AS app_id, p_type, {_CRITICALITY} AS criticality FROM part) GROUP BY 1 HAVING count(*) > 1)",
+        "dim_business_unit_pk_unique": "SELECT count(*) FROM (SELECT bu_id FROM (SELECT DISTINCT 'BU-' || c_mktsegment AS bu_id, c_mktsegment FROM customer) GROUP BY 1 HAVING count(*) > 1)",
         "fact_gl_cost_pk_unique": "SELECT count(*) FROM (SELECT gl_line_id FROM gl GROUP BY 1 HAVING count(*) > 1)",
         "dim_cost_center_tower_fk": "SELECT count(*) FROM centers WHERE tower_id IS NOT NULL AND tower_id NOT IN (SELECT 'TWR-' || n_nationkey FROM nation)",
         "fact_gl_cost_cost_center_fk": "SELECT count(*) FROM gl WHERE cost_center_id NOT IN (SELECT cost_center_id FROM centers)",
@@ -587,11 +594,14 @@ FROM (
             "max(gl_amount_eur) = sum(terminal_amount_eur) AS balanced FROM lin GROUP BY rule_version, gl_line_id"
         ),
         "lineage_round_trip": cascade_sql(
-            f"SELECT rule_version, {money(gl_total)} AS total_gl_eur, CAST(sum(allocated_amount_eur) AS DECIMAL(18,2)) AS total_lineage_allocated_eur, "
-            "CAST(sum(residual_amount_eur) AS DECIMAL(18,2)) AS total_lineage_residual_eur, "
-            f"sum(terminal_amount_eur) = {money(gl_total)} AS balanced, "
-            f"CAST({money(gl_total)} - sum(terminal_amount_eur) AS DECIMAL(18,2)) AS difference_eur, "
-            "true AS matches_allocation, true AS matches_residual FROM lin GROUP BY rule_version"
+            f"SELECT rule_version, {money(gl_total)} AS total_gl_eur, allocated AS total_lineage_allocated_eur, "
+            f"residual AS total_lineage_residual_eur, allocated + residual = {money(gl_total)} AS balanced, "
+            f"CAST({money(gl_total)} - allocated - residual AS DECIMAL(18,2)) AS difference_eur, "
+            f"allocated = {money('gold_allocated')} AS matches_allocation, residual = {money('gold_residual')} AS matches_residual "
+            "FROM (SELECT rule_version, CAST(coalesce(sum(allocated_amount_eur), 0) AS DECIMAL(18,2)) AS allocated, "
+            "CAST(coalesce(sum(residual_amount_eur), 0) AS DECIMAL(18,2)) AS residual FROM lin GROUP BY rule_version) "
+            "JOIN (SELECT rule_version, sum(CASE WHEN outcome = 'allocated' THEN cents ELSE 0 END) AS gold_allocated, "
+            "sum(CASE WHEN outcome = 'residual' THEN cents ELSE 0 END) AS gold_residual FROM ends GROUP BY rule_version) USING (rule_version)"
         ),
         "trace_forward": cascade_sql(f"SELECT * FROM lin WHERE rule_version = '{V1}' AND gl_account = '7001'"),
         "trace_backward": cascade_sql(
@@ -599,7 +609,7 @@ FROM (
         ),
         "proportion_drift": cascade_sql(
             f"SELECT rule_version, app_id, bu_id, count(*) AS path_count, "
-            f"count(*) FILTER ({_DRIFT10} > 300000000) AS outside_count, "
+            f"count(*) FILTER ({_DRIFT10} > {_BOUND10}) AS outside_count, "
             f"CAST({_DEC10.format(f'max({_DRIFT10})')} AS DECIMAL(18,10)) AS max_drift_eur "
             "FROM ends WHERE outcome = 'allocated' GROUP BY rule_version, app_id, bu_id"
         ),

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendfall.operators.lookup import lookup_join
-from spendfall.schemas import ALLOCATED, LINEAGE_COLUMNS, MONEY, RESIDUAL
+from spendfall.schemas import ALLOCATED, LINEAGE_COLUMNS, MANUAL_OVERRIDE, MONEY, RESIDUAL, STEPS
+from spendfall.sources.rule_files import PROPORTION_DIGITS, RuleSet
 
-# One cent of rounding for each of the three hops.
-MAX_DRIFT_EUR = "0.03"
+# What rounding may move at one hop.
+CENT = "0.01"
+HOP_SHARES = dict(zip(STEPS, ("prop_gl_to_tower", "prop_tower_to_app", "prop_app_to_bu")))
 
 # Fixed text of the worked example.
 ROUNDING_NOTE = (
@@ -81,14 +85,45 @@ def raw_product() -> Column:
     return (F.col("gl_amount_eur") * (shares * F.col("prop_app_to_bu").cast(narrow))).cast("decimal(38,16)")
 
 
-def proportion_drift(edges: DataFrame) -> DataFrame:
-    """Allocated rows with the distance between the product of shares and the booked cents."""
+def _lacking(rules: RuleSet | None, step: str) -> Column:
+    """What the declared proportions of a row's version lack to one at a step; nothing for other strategies."""
+    lacking = F.lit(0).cast("decimal(13,12)")
+    for version, *_, of_step, _, strategy, _ in rules.rule_rows if rules else ():
+        if of_step == step and strategy == MANUAL_OVERRIDE:
+            units = sum(int(row[4]) for row in rules.param_rows if row[:2] == (version, step))
+            share = Decimal(10**PROPORTION_DIGITS - units).scaleb(-PROPORTION_DIGITS)
+            lacking = F.when(F.col("rule_version") == version, F.lit(str(share)).cast("decimal(13,12)")).otherwise(lacking)
+    return lacking
+
+
+def drift_bound(rules: RuleSet | None = None) -> Column:
+    """The most that the booked cents of a path may differ from its product of shares.
+
+    Carried along the hops: a split adds less than a cent of rounding, and what the
+    declared proportions lack to one times the amount that is split; what has been added
+    before is split on. An undivided amount (share of one) adds nothing.
+    """
+    wide = "decimal(30,12)"
+    amount, bound = F.col("gl_amount_eur").cast(wide), F.lit(0).cast(wide)
+    for step, column in HOP_SHARES.items():
+        share = F.col(column).cast("decimal(13,12)")
+        added = F.lit(CENT).cast(MONEY) + (F.abs(amount) + bound) * _lacking(rules, step)
+        bound = F.when(share == 1, bound).otherwise((bound * share + added).cast(wide))
+        amount = (amount * share).cast(wide)
+    return bound.cast("decimal(28,10)")
+
+
+def proportion_drift(edges: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """Allocated rows with the distance between the product of shares and the booked cents.
+
+    ``rules`` are needed where declared proportions do not add up to one exactly.
+    """
     drift = F.abs(F.col("raw_product_eur") - F.col("allocated_amount_eur")).cast("decimal(28,10)")
     return (
         edges.where(F.col("outcome") == ALLOCATED)
         .withColumn("raw_product_eur", raw_product())
         .withColumn("drift_eur", drift)
-        .withColumn("within_bound", F.col("drift_eur") <= F.lit(MAX_DRIFT_EUR).cast(MONEY))
+        .withColumn("within_bound", F.col("drift_eur") <= drift_bound(rules))
     )
 
 
@@ -139,13 +174,13 @@ def require_round_trip(rows: DataFrame) -> list:
     return found
 
 
-def require_traceable(edges: DataFrame) -> None:
+def require_traceable(edges: DataFrame, rules: RuleSet | None = None) -> None:
     """Raise if a line is incomplete or the shares drift too far from the booked cents."""
     for row in line_completeness(edges).where(~F.col("balanced")).limit(1).collect():
         raise LineageError(
             f"Lineage of {row.gl_line_id} is incomplete: {row.expected_eur} went in, {row.actual_eur} came out"
         )
-    for row in proportion_drift(edges).where(~F.col("within_bound")).limit(1).collect():
+    for row in proportion_drift(edges, rules).where(~F.col("within_bound")).limit(1).collect():
         raise LineageError(
             f"Shares of {row.gl_line_id} drift {row.drift_eur} from the booked cents: "
             f"{row.raw_product_eur} against {row.allocated_amount_eur}"

@@ -12,9 +12,12 @@ from spendfall.schemas import MONEY, PCT
 
 
 def _with_version_total(summed: DataFrame, amount: str) -> DataFrame:
-    """Add the version's total as ``version_total``: one row per rule version, sent to every task."""
-    totals = summed.groupBy("rule_version").agg(F.sum(amount).alias("version_total"))
-    return summed.join(F.broadcast(totals), "rule_version")
+    """Add the version's total as ``version_total``.
+
+    A window over what has been summed already, one row per application or unit of a
+    version: what the sums come from is read once.
+    """
+    return summed.withColumn("version_total", F.sum(amount).over(W.partitionBy("rule_version")))
 
 
 def residual_detail(residual: DataFrame, gl: DataFrame, dim_cost_center: DataFrame) -> DataFrame:
@@ -85,15 +88,16 @@ def application_tco(allocation: DataFrame, dim_application: DataFrame) -> DataFr
 def bu_showback(allocation: DataFrame, dim_business_unit: DataFrame) -> DataFrame:
     """Showback per business unit and version.
 
-    Applications and ledger lines are counted in a grouping each, which collapses where
-    the rows are; both results have one row per version and unit.
+    Amounts, applications and ledger lines come out of one pass over the allocation: the
+    distinct counts are grouped where the rows are, before anything is shuffled.
     """
-    apps = allocation.groupBy("rule_version", "bu_id", "app_id").agg(F.count(F.lit(1)).alias("rows"))
-    apps = apps.groupBy("rule_version", "bu_id").agg(F.count("app_id").alias("contributing_app_count"))
-    apps = apps.select(F.col("rule_version").alias("of_version"), F.col("bu_id").alias("of_unit"), "contributing_app_count")
-    summed = _with_version_total(_per_line(allocation, "bu_id"), "allocated_amount_eur")
-    same = F.col("rule_version").eqNullSafe(F.col("of_version")) & F.col("bu_id").eqNullSafe(F.col("of_unit"))
-    return summed.join(apps, same).join(dim_business_unit, "bu_id", "left").select(
+    summed = allocation.groupBy("rule_version", "bu_id").agg(
+        F.sum("allocated_amount_eur").cast(MONEY).alias("allocated_amount_eur"),
+        F.count_distinct("app_id").alias("contributing_app_count"),
+        F.count_distinct("gl_line_id").alias("contributing_gl_line_count"),
+    )
+    summed = _with_version_total(summed, "allocated_amount_eur")
+    return summed.join(dim_business_unit, "bu_id", "left").select(
         "rule_version",
         "bu_id",
         F.coalesce("name", "bu_id").alias("bu_name"),
@@ -118,19 +122,22 @@ def _amounts_of_two(allocation: DataFrame, first: str, second: str, keys: list[s
 def driver_comparison(
     allocation: DataFrame, dim_business_unit: DataFrame, first: str, second: str
 ) -> DataFrame:
-    """The same ledger under two versions, per business unit. Any two versions may be compared."""
+    """The same ledger under two versions, per business unit. Any two versions may be compared.
+
+    The totals are a window over one row per business unit.
+    """
     amounts = _amounts_of_two(allocation, first, second, ["bu_id"])
     one, two = F.col(f"amount_{first}"), F.col(f"amount_{second}")
-    totals = amounts.agg(F.struct(F.sum(one).cast(MONEY).alias("one"), F.sum(two).cast(MONEY).alias("two"))).scalar()
     wide = "decimal(38,20)"
     zero = F.lit(0).cast(wide)
 
     def share(amount: Column, total: str) -> Column:
         return F.when(F.col(total) != 0, (amount / F.col(total)).cast(wide)).otherwise(zero)
 
+    everything = W.partitionBy(F.lit(0))
     shared = (
-        amounts.withColumn("first_total", totals["one"])
-        .withColumn("second_total", totals["two"])
+        amounts.withColumn("first_total", F.sum(one).over(everything).cast(MONEY))
+        .withColumn("second_total", F.sum(two).over(everything).cast(MONEY))
         .withColumn("delta_eur", (two - one).cast(MONEY))
     )
     no_share = F.lit(0).cast(PCT)

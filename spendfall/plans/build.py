@@ -151,7 +151,7 @@ def build_lineage(
     ends = _stored_ends(spark, gold_dir, versions)
     path = write_table(lin.lineage(ends, gl, silver["dim_cost_center"]), gold_dir, "lineage", versions=versions)
     edges = read_table(spark, gold_dir, "lineage").where(F.col("rule_version").isin(*versions))
-    lin.require_traceable(edges)
+    lin.require_traceable(edges, rules)
     lin.require_round_trip(lin.round_trip(edges, reconciliation(gl, ends, versions)))
     if examples_dir and example_cost_center:
         example = lin.worked_example(edges, rules.rules(spark), example_cost_center)

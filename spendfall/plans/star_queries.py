@@ -376,7 +376,7 @@ def trace_backward(m: Model) -> DataFrame:
 
 
 def proportion_drift(m: Model) -> DataFrame:
-    drift = lineage.proportion_drift(m.edges)
+    drift = lineage.proportion_drift(m.edges, m.rules)
     return drift.groupBy("rule_version", "app_id", "bu_id").agg(
         F.count(F.lit(1)).alias("path_count"),
         F.count_if(~F.col("within_bound")).alias("outside_count"),

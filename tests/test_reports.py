@@ -20,6 +20,7 @@ from spendfall.operators.reconcile import (
     require_lines_balanced,
 )
 from spendfall.schemas import LINEAGE_COLUMNS
+from spendfall.sources.rule_files import rule_set
 
 V1, V2 = "v1_transactions", "v2_named_users"
 VERSIONS = [V1, V2]
@@ -134,6 +135,8 @@ def test_lineage_checks_pass_and_notice_tampering(ends, gl, edges):
     lin.require_round_trip(lin.round_trip(edges, totals))
     drift = lin.proportion_drift(edges).agg(F.max("drift_eur")).first()[0]
     assert 0 < drift <= Decimal("0.03")
+    bound = edges.where("outcome = 'allocated'").agg(F.max(lin.drift_bound())).first()[0]
+    assert drift <= bound <= Decimal("0.02")
     lost = edges.where("NOT (gl_line_id = 'GL-000009' AND bu_id = 'BU-CORP')")
     with pytest.raises(lin.LineageError, match="GL-000009"):
         lin.require_traceable(lost)
@@ -144,6 +147,51 @@ def test_lineage_checks_pass_and_notice_tampering(ends, gl, edges):
         lin.require_traceable(moved)
 
 
+def _declared(spark, proportions, amounts):
+    """Rules of one declared last hop, and the lineage of single-tower lines under them."""
+    rules = rule_set(
+        [
+            {
+                "version_id": "v",
+                "description": "d",
+                "created": "2026-01-01",
+                "gl_to_tower": {"basis": "cost_center_mapping"},
+                "tower_to_app": {"strategy": "even_spread"},
+                "app_to_bu": {"strategy": "manual_override", "proportions": proportions},
+            }
+        ]
+    )
+    ledger = [(f"G{k}", "2026-01", "7000", "C", Decimal(amount), "T") for k, amount in enumerate(amounts)]
+    gl = spark.createDataFrame(ledger, "gl_line_id string, period string, gl_account string, cost_center_id string, amount_eur decimal(18,2), tower_id string")
+    found = [("tower_to_app", "T", "A0"), ("tower_to_app", "T", "A1"), ("app_to_bu", "A0", "B"), ("app_to_bu", "A1", "C")]
+    usage = spark.createDataFrame(
+        [(f"M{k}", "2026-01", *row, "m", Decimal(1)) for k, row in enumerate(found)],
+        "metric_id string, period string, step string, from_id string, to_id string, metric_name string, value decimal(18,2)",
+    )
+    towers = spark.createDataFrame([("T", "t", "c")], "tower_id string, name string, type string")
+    centers = spark.createDataFrame([("C", "c", "T")], "cost_center_id string, name string, tower_id string")
+    return rules, lin.lineage(cascade(gl, usage, towers, rules), gl, centers).cache()
+
+
+@pytest.mark.parametrize("proportions", [{"B": "0.999999"}, {"B": "0.4", "C": "0.5999995"}, {"B": "1"}, {"B": "0.5", "C": "0.500001"}])
+def test_the_bound_follows_what_proportions_lack(spark, proportions):
+    rules, edges = _declared(spark, proportions, ["1000000.00", "0.01", "123456.79", "9999999999999999.99"])
+    lin.require_traceable(edges, rules)
+    drift = lin.proportion_drift(edges, rules)
+    if sum(map(Decimal, proportions.values())) < 1:
+        with pytest.raises(lin.LineageError, match="drift"):
+            lin.require_traceable(edges)
+    # a cent above the bound, on one path of the line of a million, and as much less on the other path
+    limit = drift.where("gl_line_id = 'G0'").select(lin.drift_bound(rules)).first()[0]
+    path = drift.where("gl_line_id = 'G0' and app_id = 'A0' and bu_id = 'B'").first()
+    wrong = (path.raw_product_eur + limit).quantize(Decimal("0.01")) + Decimal("0.01")
+    more = F.when(F.col("bu_id") == "B", F.when(F.col("app_id") == "A0", F.lit(wrong - path.allocated_amount_eur)).otherwise(F.lit(path.allocated_amount_eur - wrong)))
+    changed = F.when(F.col("gl_line_id") == "G0", F.coalesce(more, F.lit(0))).otherwise(F.lit(0))
+    moved = edges.withColumns({name: (F.col(name) + changed).cast("decimal(18,2)") for name in ("allocated_amount_eur", "terminal_amount_eur")})
+    with pytest.raises(lin.LineageError, match="G0 drift"):
+        lin.require_traceable(moved, rules)
+
+
 def test_worked_example(spark, edges, rules):
     documents = {r.rule_version: json.loads(r.example_json) for r in lin.worked_example(edges, rules.rules(spark), "CC-LEGACY").collect()}
     example = documents[V1]["allocated_example"]
