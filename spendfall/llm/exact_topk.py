@@ -9,6 +9,7 @@ one block.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,15 +37,33 @@ def scaled(vector: Column, scale: int = 256) -> Column:
 def _tiles(vectors: DataFrame, size: int, name: str) -> DataFrame:
     """(dims, name, ids, values): vectors of a width gathered into pieces of about ``size``, as flat arrays.
 
-    Pieces are dealt by a hash of the row, so equal vectors and ids do not meet in one piece.
+    Pieces are dealt by a hash of the row with its copy number, so equal rows need not meet in
+    one piece; a piece is ordered, so a task that is run again makes the same one.
     """
     widths = vectors.groupBy("dims").agg(F.count("*").alias("n"))
-    pieces = vectors.join(widths, "dims").withColumn(name, F.pmod(F.xxhash64("id", "salt"), F.ceil(F.col("n") / size).cast("bigint")))
-    return pieces.groupBy("dims", name).agg(F.collect_list(F.struct("id", "vector")).alias("rows")).select(
+    pieces = vectors.join(widths, "dims").withColumn(name, F.pmod(F.xxhash64("id", "vector", "copy"), F.ceil(F.col("n") / size).cast("bigint")))
+    return pieces.groupBy("dims", name).agg(F.sort_array(F.collect_list(F.struct("id", "vector"))).alias("rows")).select(
         "dims", name, F.col("rows.id").alias("ids"), F.flatten("rows.vector").alias("values")
     )
 
 
+def _dealt(blocks: DataFrame, shards: DataFrame, tasks: int) -> DataFrame:
+    """Every block with every shard of its width, spread over ``tasks`` tasks by block and shard.
+
+    The number of tasks is stated, because tiles are small as bytes and much as work: merged
+    by size they would end in one task.
+    """
+    key = ["dims", "block", "shard"]
+    n_blocks = blocks.groupBy("dims").agg((F.max("block") + 1).alias("n"))
+    n_shards = shards.groupBy("dims").agg((F.max("shard") + 1).alias("n"))
+
+    def each(frame: DataFrame, numbers: DataFrame, name: str) -> DataFrame:
+        numbered = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias(name)
+        return frame.join(numbers, "dims").select(*frame.columns, numbered).repartition(tasks, *key)
+
+    return each(shards, n_blocks, "block").join(each(blocks, n_shards, "shard"), key)
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, id and score of the k best columns of every row, ties to the smaller id; columns ordered by id."""
     rows, places = [], []
@@ -89,16 +108,19 @@ def exact_topk(queries: DataFrame, candidates: DataFrame, id_col: str, vector: s
     Other columns are not looked at. A product beyond 64 bits is refused.
     """
 
-    def rows(frame: DataFrame, salt: Column) -> DataFrame:
-        return frame.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<bigint>").alias("vector"), salt.alias("salt")).where("id is not null and size(vector) > 0").withColumn("dims", F.size("vector"))
+    def rows(frame: DataFrame, copies: int) -> DataFrame:
+        sound = frame.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<bigint>").alias("vector")).where("id is not null and size(vector) > 0")
+        counted = sound.groupBy("id", "vector").agg(F.least(F.count("*"), F.lit(copies)).alias("n"))
+        return counted.select("id", "vector", F.size("vector").alias("dims"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("copy"))
 
-    small_batches(queries.sparkSession)
-    blocks = _tiles(rows(queries, F.lit(0)).distinct(), BLOCK, "block").withColumnsRenamed({"ids": "own", "values": "asked"})
-    shards = _tiles(rows(candidates, F.monotonically_increasing_id()), SHARD, "shard")
-    # every block against every shard: the shard goes to each of the blocks of its width
-    numbers = blocks.groupBy("dims").agg((F.max("block") + 1).alias("blocks"))
-    dealt = shards.join(numbers, "dims").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("blocks")
-    tiles = dealt.join(blocks, ["dims", "block"])
+    spark = queries.sparkSession
+    small_batches(spark)
+    blocks = _tiles(rows(queries, 1), BLOCK, "block").withColumnsRenamed({"ids": "own", "values": "asked"})
+    # of equal rows no more than k can be among the k best
+    shards = _tiles(rows(candidates, k), SHARD, "shard")
+    n_candidates = candidates.count()
+    n_tiles = math.ceil(queries.count() / BLOCK) * math.ceil(n_candidates / SHARD)
+    tiles = _dealt(blocks, shards, max(1, min(n_tiles, int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,7 +141,7 @@ def exact_topk(queries: DataFrame, candidates: DataFrame, id_col: str, vector: s
         return frame[frame.groupby("place").cumcount() < k]
 
     # as many levels as it takes for the most shards of a width to become one
-    most = candidates.count() / SHARD
+    most = n_candidates / SHARD
     width = MERGED
     while True:
         lists = lists.withColumn("group", F.floor(F.col("shard") / MERGED)).groupBy("dims", "block", "group").applyInPandas(lambda f: merge(f.drop(columns="group").assign(shard=f["group"])), kept)

@@ -43,6 +43,20 @@ def test_topk_with_ties_hot_vectors_and_odd_rows(spark, monkeypatch, block, shar
     assert len(rows) == len(_expected(vectors, 5))
 
 
+def test_tiles_go_to_several_tasks_and_copies_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "SHARD", 8)
+    vectors = [(i, [i % 7, 1]) for i in range(64)] + [(100, [50, 50])] * 400
+    frame = spark.createDataFrame(vectors, "i long, v array<long>")
+    rows = topk.exact_topk(frame.where("i < 64"), frame, "i", "v", 5).collect()
+    assert len(rows) == 64 * 5 and {r.i for r in rows if r.query_id % 7} == {100}
+    pieces = spark.createDataFrame([(2, b, [b], [0, 0]) for b in range(8)], "dims int, block long, own array<long>, asked array<long>")
+    shards = spark.createDataFrame([(2, s, [s], [0, 0]) for s in range(8)], "dims int, shard long, ids array<long>, values array<long>")
+    tasks = topk._dealt(pieces, shards, 16).select("block", "shard", F.spark_partition_id().alias("task")).collect()
+    assert len({(r.block, r.shard) for r in tasks}) == len(tasks) == 64
+    assert len({r.task for r in tasks}) > 8
+
+
 def test_topk_of_large_numbers_and_of_nothing(spark):
     frame = spark.createDataFrame([(0, [2**31, 2**31]), (1, [2**30, 3]), (2, [2**31, -1])], "i long, v array<long>")
     rows = topk.exact_topk(frame.where("i = 0"), frame, "i", "v", 5).collect()
