@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from spendfall.llm.byte_bpe import Coder, encode
-from spendfall.llm.store import small_batches
+from spendfall.llm.store import small_batches, stored
 
 #: Control strings; their place in this list is their reserved id above the vocabulary.
 CONTROLS = ["[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[ROLE]", "[TEXT]", "[/TEXT]"]
@@ -53,6 +53,7 @@ def format_chat(turns: DataFrame, coder: Coder, conversation: str = "conv_id", t
     turns come first. Null texts and roles are empty ones. Repeated rows are turns of their
     own. Rows without a conversation form one. Other columns are not looked at.
 
+    Turns are encoded once and stored, as they are read for their lengths and for themselves.
     Running counts are taken over blocks of 1024 turn numbers and over the blocks, so that a
     long conversation is not one task's work.
     """
@@ -80,6 +81,7 @@ def format_chat(turns: DataFrame, coder: Coder, conversation: str = "conv_id", t
         n.alias("n"),
         F.floor(F.col("turn") / 1024).alias("block"),
     )
+    built = stored(built, "turns")
     blocks = built.groupBy("conversation", "block").agg(F.sum("n").alias("tokens"), F.count("*").alias("turns"))
     ahead = Window.partitionBy("conversation").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(

@@ -92,3 +92,9 @@ def test_conversations_are_read_back(spark, coder):
         assert r.start == ends
         ends += r.n
     assert read_back(format_chat(frame.limit(0), coder), coder).count() == 0
+
+
+def test_texts_are_encoded_once(spark, coder):
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn int, role string, text string")
+    plan = format_chat(turns, coder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
