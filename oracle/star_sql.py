@@ -294,6 +294,67 @@ def usage_sql(select: str) -> str:
     return f"WITH {GL},{CENTERS},{USAGE}\n{select}"
 
 
+def faulty_sql() -> str:
+    """The data-quality report over tables with faults of every kind, each check in plain SQL."""
+    tables = f"""
+f_centers AS (SELECT * FROM centers UNION ALL SELECT cost_center_id, name || '*', 'TWR-99' FROM centers WHERE tower_id = 'TWR-3'),
+f_towers AS (
+  SELECT 'TWR-' || n_nationkey AS tower_id, n_name AS name, r_name AS type FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey <> 5
+  UNION ALL SELECT 'TWR-' || n_nationkey, n_name || '*', r_name FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey = 7
+),
+f_apps AS (
+  SELECT DISTINCT 'APP-' || p_type AS app_id, p_type AS name, {_CRITICALITY} AS criticality FROM part WHERE p_type <> 'MEDIUM'
+  UNION ALL SELECT DISTINCT 'APP-SMALL', 'SMALL*', 'none' FROM part WHERE p_type = 'SMALL'
+),
+f_units AS (
+  SELECT DISTINCT 'BU-' || c_mktsegment AS bu_id, c_mktsegment AS name FROM customer WHERE c_mktsegment <> 'BUILDING'
+  UNION ALL SELECT DISTINCT 'BU-MACHINERY', 'MACHINERY*' FROM customer WHERE c_mktsegment = 'MACHINERY'
+),
+f_gl AS (
+  SELECT gl_line_id, cost_center_id, amount_eur, tower_id FROM gl
+  UNION ALL SELECT gl_line_id, 'CC-NONE', -amount_eur, tower_id FROM gl WHERE gl_account = '7003'
+),
+f_usage AS (
+  SELECT step, from_id, to_id, value FROM usage
+  UNION ALL SELECT step, from_id, to_id, -value FROM usage WHERE metric_name = 'order_lines'
+)"""
+    dimensions = {
+        "dim_cost_center": ("f_centers", "cost_center_id", "(name, tower_id)"),
+        "dim_resource_tower": ("f_towers", "tower_id", "(name, type)"),
+        "dim_application": ("f_apps", "app_id", "(name, criticality)"),
+        "dim_business_unit": ("f_units", "bu_id", "name"),
+    }
+    keys = {
+        "dim_cost_center_tower_fk": ("f_centers", "tower_id", "f_towers", "tower_id", "true"),
+        "fact_gl_cost_cost_center_fk": ("f_gl", "cost_center_id", "f_centers", "cost_center_id", "true"),
+        "fact_gl_cost_tower_fk": ("f_gl", "tower_id", "f_towers", "tower_id", "true"),
+        "fact_usage_metric_tower_to_app_from_fk": ("f_usage", "from_id", "f_towers", "tower_id", "step = 'tower_to_app'"),
+        "fact_usage_metric_tower_to_app_to_fk": ("f_usage", "to_id", "f_apps", "app_id", "step = 'tower_to_app'"),
+        "fact_usage_metric_app_to_bu_from_fk": ("f_usage", "from_id", "f_apps", "app_id", "step = 'app_to_bu'"),
+        "fact_usage_metric_app_to_bu_to_fk": ("f_usage", "to_id", "f_units", "bu_id", "step = 'app_to_bu'"),
+    }
+    counts = {}
+    for name, (table, key, attributes) in dimensions.items():
+        counts[f"{name}_conflicting_pk"] = f"SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY 1 HAVING count(DISTINCT {attributes}) > 1)"
+        counts[f"{name}_pk_unique"] = f"SELECT count(*) FROM (SELECT {key} FROM (SELECT DISTINCT * FROM {table}) GROUP BY 1 HAVING count(*) > 1)"
+    for name, (table, key, known, known_key, where) in keys.items():
+        counts[name] = f"SELECT count(*) FROM {table} WHERE {where} AND {key} IS NOT NULL AND {key} NOT IN (SELECT {known_key} FROM {known})"
+    total, actual = "(SELECT sum(CAST(o_totalprice AS DECIMAL(18,2))) FROM orders)", "(SELECT sum(amount_eur) FROM f_gl)"
+    counts |= {
+        "fact_gl_cost_pk_unique": "SELECT count(*) FROM (SELECT gl_line_id FROM f_gl GROUP BY 1 HAVING count(*) > 1)",
+        "fact_gl_cost_non_negative_amount": "SELECT count(*) FROM f_gl WHERE amount_eur < 0",
+        "fact_usage_metric_non_negative_value": "SELECT count(*) FROM f_usage WHERE value < 0",
+        "fact_gl_cost_reconciliation": f"SELECT CASE WHEN {actual} = {total} THEN 0 ELSE 1 END",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS name, ({count}) AS n" for name, count in counts.items())
+    return f"""WITH {GL},{CENTERS},{USAGE},{tables}
+SELECT name, n = 0 AS passed, CAST(n AS BIGINT) AS failure_count,
+  CASE name WHEN 'dim_cost_center_tower_fk' THEN 'NULL tower_id is intentionally allowed; only non-null tower keys must resolve.'
+            WHEN 'fact_gl_cost_tower_fk' THEN 'NULL tower_id is intentionally allowed for the unmapped residual anchor.'
+            WHEN 'fact_gl_cost_reconciliation' THEN 'expected=' || CAST({total} AS VARCHAR) || ' actual=' || CAST({actual} AS VARCHAR) END AS detail
+FROM ({rows})"""
+
+
 ALLOCATION = f"""
 SELECT gl_line_id, period, gl_account, cost_center_id, tower_id, app_id, bu_id, {money('cents')} AS allocated_amount_eur,
        rule_version, {share('u1')} AS gl_to_tower_proportion, {share('u2')} AS tower_to_app_proportion,
@@ -474,6 +535,20 @@ FROM lin JOIN numbered n ON n.gl_line_id = lin.gl_line_id AND n.rule_version = l
   AND n.app_id IS NOT DISTINCT FROM lin.app_id AND n.bu_id IS NOT DISTINCT FROM lin.bu_id
 WHERE (lin.outcome = 'allocated' AND (lin.rule_version, lin.gl_line_id) IN (SELECT (rule_version, gl_line_id) FROM paths))
    OR (lin.outcome = 'residual' AND (lin.rule_version, lin.gl_line_id) IN (SELECT (rule_version, gl_line_id) FROM left_over))"""
+    distributed = split_sql(
+        f"""
+SELECT gl_line_id, to_id, {share('units')} AS share, {money('floor_cents + CASE WHEN position <= spare THEN 1 ELSE 0 END')} AS amount_eur
+FROM (
+  SELECT gl_line_id, to_id, units, floor_cents,
+         row_number() OVER (PARTITION BY gl_line_id ORDER BY rest DESC, units DESC, to_id) AS position,
+         cents - sum(floor_cents) OVER (PARTITION BY gl_line_id) AS spare
+  FROM (
+    SELECT gl_line_id, to_id, units, CAST(amount_eur * 100 AS HUGEINT) AS cents,
+           CAST(amount_eur * 100 AS HUGEINT) * units // {ONE} AS floor_cents,
+           CAST(amount_eur * 100 AS HUGEINT) * units % {ONE} AS rest
+    FROM gl CROSS JOIN shares WHERE step = 'gl_to_tower'))""",
+        "even",
+    )
     metric = "coalesce((SELECT {} FROM idx i WHERE i.step = r.step AND i.metric_name = r.metric_name), 0)"
     return {
         "scan_csv": f"WITH {GL} SELECT gl_line_id, period, gl_account, cost_center_id, amount_eur, description FROM gl",
@@ -528,6 +603,7 @@ SELECT gl_line_id, reasons, (SELECT count(*) FROM offered WHERE reasons = '') AS
             "(SELECT from_id FROM usage WHERE step = 'tower_to_app') GROUP BY tower_id"
         ),
         "dq_report": usage_sql(dq),
+        "dq_report_faulty": faulty_sql(),
         "usage_index": usage_sql("SELECT step, from_id, metric_name, to_id, signal FROM idx"),
         "usage_metrics_by_step": usage_sql(
             "SELECT step, metric_name, count(DISTINCT from_id) AS source_count, CAST(sum(signal) AS DECIMAL(26,2)) AS signal_total "
@@ -540,20 +616,8 @@ SELECT gl_line_id, reasons, (SELECT count(*) FROM offered WHERE reasons = '') AS
         "strategy_weighted": split_sql(STRATEGY, "weights"),
         "strategy_consumption": split_sql(STRATEGY, "units"),
         "strategy_manual_override": split_sql(STRATEGY, "declared"),
-        "distribute_amount": split_sql(
-            f"""
-SELECT gl_line_id, to_id, {share('units')} AS share, {money('floor_cents + CASE WHEN position <= spare THEN 1 ELSE 0 END')} AS amount_eur
-FROM (
-  SELECT gl_line_id, to_id, units, floor_cents,
-         row_number() OVER (PARTITION BY gl_line_id ORDER BY rest DESC, units DESC, to_id) AS position,
-         cents - sum(floor_cents) OVER (PARTITION BY gl_line_id) AS spare
-  FROM (
-    SELECT gl_line_id, to_id, units, CAST(amount_eur * 100 AS HUGEINT) AS cents,
-           CAST(amount_eur * 100 AS HUGEINT) * units // {ONE} AS floor_cents,
-           CAST(amount_eur * 100 AS HUGEINT) * units % {ONE} AS rest
-    FROM gl CROSS JOIN shares WHERE step = 'gl_to_tower'))""",
-            "even",
-        ),
+        "distribute_amount": distributed,
+        "distribute_amount_wide": distributed,
         "gl_to_tower": cascade_sql(_FALL),
         "gl_to_tower_fallback": cascade_sql(_FALL, FALLBACK_RULES),
         "tower_to_app": cascade_sql(

@@ -145,43 +145,55 @@ def _expand_arrays(flows: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
-def _expand_rows(flows: DataFrame, outcomes: DataFrame, flow_key: list[str]) -> DataFrame:
-    """Shuffled split for tables too wide to broadcast: salted join, then a window per flow.
+def split_amounts(amounts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """How each distinct (rule_version, from_id, cents) is split: found_reason, to_id, share and part.
 
-    Sources are hot by nature (few towers, many ledger lines), hence the salt; each
-    window holds the targets of one flow. The flows are stored first: they are read
-    twice, to count the hot sources and to be joined.
+    A source that is hot among the flows may be hot among the amounts, hence the salt;
+    each window holds the targets of one amount. An unknown source gives no row.
     """
-    flows = materialize(flows)
+    key = ["rule_version", "from_id", "cents"]
     joined = salted_join(
-        flows,
+        amounts.where("from_id IS NOT NULL").select(*key).distinct(),
         outcomes.drop("step").withColumnRenamed("reason_code", "found_reason"),
         ["rule_version", "from_id"],
-        "left",
-        flow_key,
+        "inner",
+        ["cents"],
     )
-    flow = ", ".join(flow_key)
-    kept = [c for c in flows.columns if c != "from_id"]
+    amount = ", ".join(key)
     counted = joined.selectExpr(
-        *kept,
+        *key,
         "found_reason",
         "to_id",
         "share",
         "units",
-        f"row_number() OVER (PARTITION BY {flow} ORDER BY {split_remainder('cents', 'units')} DESC, place) AS position",
-        f"count(*) OVER (PARTITION BY {flow}) AS target_count",
-        spare_cents("cents", f"sum({split_remainder('cents', 'units')}) OVER (PARTITION BY {flow})", "missing") + " AS spare",
+        f"row_number() OVER (PARTITION BY {amount} ORDER BY {split_remainder('cents', 'units')} DESC, place) AS position",
+        f"count(*) OVER (PARTITION BY {amount}) AS target_count",
+        spare_cents("cents", f"sum({split_remainder('cents', 'units')}) OVER (PARTITION BY {amount})", "missing") + " AS spare",
     )
     return counted.selectExpr(
-        *kept,
+        *key,
         "found_reason",
         "to_id",
         "share",
-        f"CASE WHEN to_id IS NULL THEN cents ELSE {split_floor('cents', 'units')} + spare div target_count "
+        f"CASE WHEN to_id IS NOT NULL THEN {split_floor('cents', 'units')} + spare div target_count "
         "+ CASE WHEN position <= spare % target_count THEN 1L ELSE 0L END END AS part",
     )
 
 
+def _expand_rows(flows: DataFrame, outcomes: DataFrame, flow_key: list[str]) -> DataFrame:
+    """Shuffled split for tables too wide to broadcast: amounts are split once, then joined back.
+
+    Equal amounts of one source are split alike, so only distinct ones are widened and
+    sorted. The flows are stored first: they are read for their amounts, to count the
+    hot ones and to be joined.
+    """
+    flows = materialize(flows)
+    key = ["rule_version", "from_id", "cents"]
+    kept = [c for c in flows.columns if c != "from_id"]
+    joined = salted_join(flows, split_amounts(flows, outcomes), key, "left", flow_key)
+    return joined.selectExpr(*kept, "found_reason", "to_id", "share", "CASE WHEN to_id IS NULL THEN cents ELSE part END AS part")
+
+
 def distribute(flows: DataFrame, splits: Splits, step: str, flow_key: list[str]) -> DataFrame:
     """Split the ``cents`` of every flow over the targets of its ``from_id``.
 

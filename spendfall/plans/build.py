@@ -214,7 +214,7 @@ def run_stages(
     example_cost_center: str | None = None,
 ) -> list[str]:
     """Run the stages through (or only) ``target`` for the default rule version."""
-    rules = load_rules(folders.rules)
+    rules = load_rules(folders.rules, spark)
     chosen = rules.only(default_version)
     scratch_dir(spark)
     ran = stages_to_run(target)

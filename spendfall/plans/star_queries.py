@@ -127,8 +127,8 @@ class Model:
     def rules(self) -> RuleSet:
         return load_rules(RULES_DIR).only(V1, V2)
 
-    def splits(self, rules: RuleSet) -> cas.Splits:
-        return cas.split_table(self.silver["fact_usage_metric"], self.silver["dim_resource_tower"], rules)
+    def splits(self, rules: RuleSet, **limits: int) -> cas.Splits:
+        return cas.split_table(self.silver["fact_usage_metric"], self.silver["dim_resource_tower"], rules, **limits)
 
     @cached_property
     def ends(self) -> DataFrame:
@@ -288,6 +288,31 @@ def dq_report(m: Model) -> DataFrame:
     return quality.quality_report(m.conformed, control_total)
 
 
+def faulty(conformed: Conformed) -> Conformed:
+    """The tables with faults of every kind put into rows chosen by their content."""
+    old = conformed.tables
+
+    def renamed(name: str, where: str, **changes: str) -> DataFrame:
+        return old[name].where(where).withColumns({"name": F.concat("name", F.lit("*"))} | {k: F.expr(v) for k, v in changes.items()})
+
+    candidates = {
+        "dim_cost_center": old["dim_cost_center"].unionByName(renamed("dim_cost_center", "tower_id = 'TWR-3'", tower_id="'TWR-99'")),
+        "dim_resource_tower": old["dim_resource_tower"].where("tower_id <> 'TWR-5'").unionByName(renamed("dim_resource_tower", "tower_id = 'TWR-7'")),
+        "dim_application": old["dim_application"].where("app_id <> 'APP-MEDIUM'").unionByName(renamed("dim_application", "app_id = 'APP-SMALL'", criticality="'none'")),
+        "dim_business_unit": old["dim_business_unit"].where("bu_id <> 'BU-BUILDING'").unionByName(renamed("dim_business_unit", "bu_id = 'BU-MACHINERY'")),
+    }
+    booked = old["fact_gl_cost"].where("gl_account = '7003'").withColumns({"cost_center_id": F.lit("CC-NONE"), "amount_eur": (-F.col("amount_eur")).cast(MONEY)})
+    returned = old["fact_usage_metric"].where("metric_name = 'order_lines'").withColumn("value", (-F.col("value")).cast(MONEY))
+    facts = {"fact_gl_cost": old["fact_gl_cost"].unionByName(booked), "fact_usage_metric": old["fact_usage_metric"].unionByName(returned)}
+    return Conformed(candidates, {name: frame.distinct() for name, frame in candidates.items()} | facts)
+
+
+def dq_report_faulty(m: Model) -> DataFrame:
+    """The report on tables with faults of every kind: no check passes."""
+    control_total = m.star.table("orders").agg(F.sum(F.col("o_totalprice").cast(MONEY))).scalar()
+    return quality.quality_report(faulty(m.conformed), control_total)
+
+
 # --- strategies and splits ---------------------------------------------------------
 
 
@@ -305,8 +330,7 @@ def _strategy(version: str, strategy: str) -> Callable[[Model], DataFrame]:
     return query
 
 
-def distribute_amount(m: Model) -> DataFrame:
-    """Every ledger line spread evenly over all towers, to the cent."""
+def _spread(m: Model, **limits: int) -> DataFrame:
     rules = rule_set(STRATEGY_RULES).only("even")
     flows = m.gl.select(
         "gl_line_id",
@@ -314,10 +338,20 @@ def distribute_amount(m: Model) -> DataFrame:
         F.lit(strategies.ANY_LINE).alias("from_id"),
         to_cents(F.col("amount_eur")).alias("cents"),
     )
-    parts = cas.distribute(flows, m.splits(rules), GL_TO_TOWER, ["gl_line_id"])
+    parts = cas.distribute(flows, m.splits(rules, **limits), GL_TO_TOWER, ["gl_line_id"])
     return parts.select("gl_line_id", "to_id", "share", from_cents(F.col("part")).alias("amount_eur"))
 
 
+def distribute_amount(m: Model) -> DataFrame:
+    """Every ledger line spread evenly over all towers, to the cent."""
+    return _spread(m)
+
+
+def distribute_amount_wide(m: Model) -> DataFrame:
+    """The same in the form for sources of any number of targets: every distinct amount is split once."""
+    return _spread(m, array_targets=0)
+
+
 # --- cascade -----------------------------------------------------------------------
 
 _FLOW = ["rule_version", "gl_line_id", "tower_id", "app_id", "amount_eur", "failed_step", "reason_code"]
@@ -420,6 +454,7 @@ MODEL_QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "dq_conflicting_keys": dq_conflicting_keys,
     "dq_fk_anti_join": dq_fk_anti_join,
     "dq_report": dq_report,
+    "dq_report_faulty": dq_report_faulty,
     "usage_index": lambda m: m.index,
     "usage_metrics_by_step": lambda m: usage.metrics_by_step(m.index),
     "normalize_shares": normalize_shares,
@@ -428,6 +463,7 @@ MODEL_QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "strategy_consumption": _strategy("units", "consumption"),
     "strategy_manual_override": _strategy("declared", "manual_override"),
     "distribute_amount": distribute_amount,
+    "distribute_amount_wide": distribute_amount_wide,
     "gl_to_tower": gl_to_tower,
     "gl_to_tower_fallback": gl_to_tower_fallback,
     "tower_to_app": tower_to_app,

@@ -9,6 +9,7 @@ from decimal import Decimal, InvalidOperation
 from pathlib import Path
 
 import yaml
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from spendfall.schemas import (
@@ -244,19 +245,37 @@ def rule_set(versions: Iterable[dict]) -> RuleSet:
     return rules
 
 
-def load_rules(rules_dir: str | Path) -> RuleSet:
-    """Every ``*.yaml`` / ``*.yml`` file of a folder, one rule version per file."""
-    folder = Path(rules_dir)
+def _local_files(folder: Path) -> list[tuple[str, bytes]]:
     if not folder.is_dir():
         raise RuleError(f"No such rules folder: {folder}")
-    files = sorted([*folder.glob("*.yaml"), *folder.glob("*.yml")])
+    files = sorted(path for path in folder.iterdir() if path.suffix in (".yaml", ".yml"))
+    return [(str(path), path.read_bytes()) for path in files]
+
+
+def _shared_files(folder: str, spark: SparkSession) -> list[tuple[str, bytes]]:
+    """Files under any path that tables can have; a rule folder is a few small files."""
+    try:
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{yaml,yml}").load(folder).select("path", "content")
+    except AnalysisException as error:
+        raise RuleError(f"No such rules folder: {folder}") from error
+    return sorted((row.path, bytes(row.content)) for row in found.collect())
+
+
+def load_rules(rules_dir: str | Path, spark: SparkSession | None = None) -> RuleSet:
+    """Every ``*.yaml`` / ``*.yml`` file of a folder, one rule version per file.
+
+    With a session the folder may lie wherever Spark reads tables from; without one it
+    is a local folder. Files are taken in the order of their names. An empty file is refused
+    in a local folder; Spark does not list it.
+    """
+    files = _shared_files(str(rules_dir), spark) if spark else _local_files(Path(rules_dir))
     if not files:
-        raise RuleError(f"No rule files in {folder}")
+        raise RuleError(f"No rule files in {rules_dir}")
     versions = []
-    for file in files:
+    for file, text in files:
         try:
-            content = yaml.safe_load(file.read_text(encoding="utf-8")) or {}
-        except yaml.YAMLError as error:
+            content = yaml.safe_load(text.decode("utf-8")) or {}
+        except (yaml.YAMLError, UnicodeDecodeError) as error:
             raise RuleError(f"{file} is not valid YAML: {error}") from error
         if not isinstance(content, dict):
             raise RuleError(f"Rule file {file} must hold one mapping.")

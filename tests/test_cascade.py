@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 
 import brute
 from spendfall.operators import reports
-from spendfall.operators.cascade import allocation, cascade, residual, run_cascade, split_table
+from spendfall.operators.cascade import allocation, cascade, distribute, residual, run_cascade, split_amounts, split_table
 from spendfall.schemas import STEPS
 from spendfall.sources.rule_files import rule_set
 
 V1, V2 = "v1_transactions", "v2_named_users"
 
 
+_RULES_EVEN = {
+    "version_id": "even", "description": "all to all", "created": "2026-01-01",
+    "gl_to_tower": {"basis": "cost_center_mapping", "on_unmapped": {"strategy": "even_spread"}},
+    "tower_to_app": {"strategy": "even_spread"}, "app_to_bu": {"strategy": "even_spread"},
+}
+
+
 @pytest.fixture(scope="module")
 def ends(silver, rules):
     return cascade(silver["fact_gl_cost"], silver["fact_usage_metric"], silver["dim_resource_tower"], rules).cache()
@@ -246,3 +253,25 @@ def test_every_accepted_rule_gives_out_what_there_is(spark):
         found = {(r.rule_version, r.gl_line_id): r.s for r in sums}
         assert found == {(v["version_id"], line): amount for v in versions for line, amount in whole.items()}
         assert min(r.least for r in sums) >= 0
+
+
+def test_equal_amounts_are_split_once(spark, silver):
+    rules = rule_set([_RULES_EVEN])
+    splits = split_table(silver["fact_usage_metric"], silver["dim_resource_tower"], rules, array_targets=0)
+    n_towers = silver["dim_resource_tower"].count()
+    # a third of all flows is one amount; two amounts of a source that is not known
+    flows = spark.range(300).selectExpr(
+        "cast(id as string) AS gl_line_id", "'even' AS rule_version",
+        "CASE WHEN id % 50 = 7 THEN 'unknown' WHEN id % 50 <> 8 THEN '*' END AS from_id",
+        "CASE WHEN id % 3 = 0 THEN 1001L ELSE id % 5 END AS cents",
+    )
+    outcomes = splits.outcomes.where("step = 'gl_to_tower'")
+    distinct = flows.where("from_id = '*'").select("cents").distinct().count()
+    memo = split_amounts(flows, outcomes)
+    assert memo.count() == distinct * n_towers == 6 * n_towers
+    narrow = split_table(silver["fact_usage_metric"], silver["dim_resource_tower"], rules)
+    assert splits.wide_steps and not narrow.wide_steps
+    wide, array = (distribute(flows, s, "gl_to_tower", ["gl_line_id"]).select("gl_line_id", "to_id", "share", "part") for s in (splits, narrow))
+    assert wide.exceptAll(array).count() == array.exceptAll(wide).count() == 0
+    whole = wide.groupBy("gl_line_id").agg(F.sum("part").alias("cents")).join(flows, ["gl_line_id", "cents"])
+    assert whole.count() == 300

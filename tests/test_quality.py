@@ -7,8 +7,9 @@ from decimal import Decimal
 import pytest
 
 from conftest import GL_TOTAL
-from spendfall.operators.conform import conform
+from spendfall.operators.conform import Conformed, conform
 from spendfall.operators.quality import QualityError, duplicate_keys, quality_report, require_passed, unresolved_keys
+from spendfall.session import materialize
 
 
 def _failures(report) -> dict:
@@ -91,3 +92,19 @@ def test_null_matches_null_in_key_checks(spark):
     assert unresolved_keys(left, "k", right.where("r IS NOT NULL"), "r").count() == 2
     assert unresolved_keys(left, "k", right.where("r IS NOT NULL"), "r", skip_null=True).count() == 1
     assert [(row.k, row.row_count) for row in duplicate_keys(left, ["k"]).collect()] == [("b", 2)]
+
+
+def test_every_table_is_read_once(conformed):
+    """Stored tables stand in the plan once each, and nothing is joined."""
+    dimensions = {name: materialize(frame) for name, frame in conformed.candidates.items()}
+    facts = {name: materialize(conformed.tables[name]) for name in ("fact_gl_cost", "fact_usage_metric")}
+    report = quality_report(Conformed(dimensions, {name: frame.distinct() for name, frame in dimensions.items()} | facts), GL_TOTAL)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 6 and "Join" not in plan
+    assert len(require_passed(report)) == 19
+
+
+def test_tables_apart_from_their_candidates_are_read_for_themselves(conformed):
+    tables = dict(conformed.tables)
+    tables["dim_business_unit"] = tables["dim_business_unit"].unionAll(tables["dim_business_unit"])
+    assert _failures(quality_report(Conformed(conformed.candidates, tables), GL_TOTAL)) == {"dim_business_unit_pk_unique": 3}

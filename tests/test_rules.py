@@ -119,6 +119,21 @@ def test_weights_of_any_size_are_exact():
     assert [(row[2], int(row[4])) for row in rules.param_rows] == [("A", 5 * 10**19), ("B", 1)]
 
 
+def test_rules_from_a_path_of_any_file_system(spark, tmp_path):
+    uri = (FIXTURES / "rules").as_uri()
+    assert load_rules(uri, spark) == load_rules(FIXTURES / "rules")
+    with pytest.raises(RuleError, match="No such"):
+        load_rules(f"{tmp_path.as_uri()}/none", spark)
+    with pytest.raises(RuleError, match="No rule files"):
+        load_rules(tmp_path.as_uri(), spark)
+    (tmp_path / "a.yaml").write_bytes(b"\xff\xfe")
+    with pytest.raises(RuleError, match="not valid YAML"):
+        load_rules(tmp_path.as_uri(), spark)
+    (tmp_path / "a.yaml").write_bytes(b"")
+    with pytest.raises(RuleError, match="No rule files"):
+        load_rules(tmp_path.as_uri(), spark)
+
+
 def test_folder_errors(tmp_path):
     with pytest.raises(RuleError, match="No such"):
         load_rules(tmp_path / "none")

@@ -13,7 +13,7 @@ from spendfall.plans.star_queries import star_queries
 FOLDER = Path("/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
 QUERIES, SQL = star_queries(), oracle_queries()
-QUICK = ["contract_violations", "dq_fk_anti_join", "strategy_weighted", "cascade_allocation", "reconciliation", "bu_showback"]
+QUICK = ["contract_violations", "dq_fk_anti_join", "dq_report", "dq_report_faulty", "distribute_amount_wide", "strategy_weighted", "cascade_allocation", "reconciliation", "bu_showback"]
 CHOSEN = sorted(QUERIES) if os.environ.get("RUN_ALL_QUERIES") else QUICK
 
 
@@ -45,3 +45,10 @@ def test_query_matches_sql(spark, tables, name):
     found = sorted(str([_plain(v) for v in row]) for row in frame.select(*columns).collect())
     wanted = sorted(str([_plain(row[i]) for i in order]) for row in result.fetchall())
     assert found == wanted
+
+
+def test_faults_of_every_kind_are_found(spark):
+    if not FOLDER.is_dir():
+        pytest.skip("star tables are not here")
+    rows = QUERIES["dq_report_faulty"](spark, str(FOLDER)).collect()
+    assert len(rows) == 19 and not any(row.passed for row in rows) and all(row.failure_count > 0 for row in rows)
