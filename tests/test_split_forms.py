@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendfall.operators import cascade as cas
+from spendfall.schemas import STEPS
 
 
 def _plan(frame) -> str:
@@ -39,6 +40,24 @@ def test_few_targets_and_arrays_give_the_same_parts(spark, rules, splits):
     assert few.exceptAll(arrays).isEmpty() and arrays.exceptAll(few).isEmpty() and few.count() > 900
 
 
+def test_parts_are_not_shuffled_after_the_amounts_are_split(spark, rules, splits):
+    flows = _flows(spark, rules)
+    wide = cas.distribute(flows, replace(splits, wide_steps=frozenset(STEPS)), "tower_to_app", ["gl_line_id"])
+    lines = [(len(line) - len(line.lstrip(" :+-")), line.lstrip(" :+-")) for line in _plan(wide).splitlines()]
+    at = next(i for i, (_, line) in enumerate(lines) if line.startswith("Window"))
+    depth, above = lines[at][0], []
+    for indent, line in reversed(lines[:at]):
+        if indent < depth:
+            depth = indent
+            above.append(line.split()[0])
+    assert "SortMergeJoin" in above
+    assert not {"Exchange", "Sort"} & set(above[: above.index("SortMergeJoin")])
+    known = F.col("cents").isNotNull() & F.col("from_id").isNotNull()
+    flows = flows.where(known & (F.col("cents") >= 0))
+    wide, narrow = (cas.distribute(flows, form, "tower_to_app", ["gl_line_id"]) for form in (replace(splits, wide_steps=frozenset(STEPS)), splits))
+    assert wide.exceptAll(narrow).isEmpty() and narrow.exceptAll(wide).isEmpty()
+
+
 def test_sums_by_strategy_are_taken_in_cents(silver, rules, splits):
     ends = cas.run_cascade(silver["fact_gl_cost"], splits, rules)
     in_cents = cas.run_cascade(silver["fact_gl_cost"], splits, rules, in_cents=True)
