@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from spendfall.operators import cascade as cas
 from spendfall.operators import lineage as lin
+from spendfall.session import materialize
 
 
 def _plan(frame) -> str:
@@ -56,3 +58,17 @@ def test_the_ledger_is_cut_into_slices_of_a_bounded_number_of_lines(spark):
     lines = spark.range(1000).select(F.col("id").cast("string").alias("gl_line_id"))
     assert cas.spread_lines(lines, 1000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert cas.spread_lines(lines, 20 * cas.LINES_PER_TASK + 1).rdd.getNumPartitions() == 21
+
+
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|")
+    return sum("/shuffle_" in name for name in files.split("|"))
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    stored = materialize(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count())
+    until = time.time() + 10
+    while (left := _shuffle_files(spark)) > before and time.time() < until:
+        time.sleep(0.2)
+    assert left <= before and stored.count() == 100

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from spendfall.operators.lookup import hot_keys, lookup_join, salted_join, table_bytes
+from spendfall.operators.lookup import hot_among_many, hot_keys, lookup_join, salted_join, table_bytes
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +52,10 @@ def test_small_side_is_broadcast_and_large_side_is_not(spark, sides):
     assert sorted(map(str, salted.collect())) == sorted(map(str, large.collect()))
     assert Counter(small.collect()) == Counter(large.select(*small.columns).collect())
     assert table_bytes(right) > 40 * 20
+
+
+def test_hot_keys_among_many_are_the_same(sides):
+    left, _ = sides
+    known = left.where("k IS NOT NULL").selectExpr("CASE WHEN k < 2 THEN k ELSE id END AS k", "id % 2 AS half")
+    found, wanted = (sorted(frame.collect()) for frame in (hot_among_many(known, ["k", "half"], 8), hot_keys(known, ["k", "half"], 8)))
+    assert found == wanted and len(found) == 2

@@ -62,3 +62,46 @@ def test_sums_by_strategy_are_taken_in_cents(silver, rules, splits):
     ends = cas.run_cascade(silver["fact_gl_cost"], splits, rules)
     in_cents = cas.run_cascade(silver["fact_gl_cost"], splits, rules, in_cents=True)
     assert "amount_eur" not in in_cents.columns and in_cents.agg(F.sum("cents")).first()[0] == ends.agg((F.sum("amount_eur") * Decimal(100)).cast("bigint")).first()[0]
+
+
+@pytest.mark.parametrize("flows_per_task", [100_000, 10])
+def test_widened_rows_are_not_shuffled_by_merge_joins(spark, rules, splits, monkeypatch, flows_per_task):
+    monkeypatch.setattr(cas, "FLOWS_PER_TASK", flows_per_task)
+    flows = _flows(spark, rules)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = cas.distribute(flows, replace(splits, wide_steps=frozenset(STEPS)), "tower_to_app", ["gl_line_id"])
+        names = [line.lstrip(" :+-").split()[0] for line in _plan(wide).splitlines() if line.strip(" :+-")]
+        below = names[names.index("Window") :]
+        assert "Exchange" not in below[: below.index("SortMergeJoin")]
+        found = wide.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    narrow = {(row.gl_line_id, row.to_id): row for row in cas.distribute(flows, splits, "tower_to_app", ["gl_line_id"]).collect()}
+    split = [row for row in found if row.to_id is not None]
+    assert split and all(narrow[row.gl_line_id, row.to_id].part == row.part and narrow[row.gl_line_id, row.to_id].share == row.share for row in split)
+    assert sorted({int(row.gl_line_id) for row in found}) == list(range(900))
+
+
+@pytest.mark.parametrize("shared", [["v1", "v2"], ["v1", "v2", "w"]])
+def test_versions_part_with_the_amounts(spark, shared):
+    """A flow of versions that have been one up to here is dealt out once, and split by the rules of each."""
+    targets = [("v1", "A", 600000000000, Decimal("0.6"), 0, 0, None), ("v1", "B", 400000000000, Decimal("0.4"), 1, 0, None), ("v2", "B", 10**12, Decimal(1), 0, 0, None), ("w", None, None, None, None, None, "driver_zero")]
+    outcomes = spark.createDataFrame(
+        [("app_to_bu", "S", *row) for row in targets],
+        "step string, from_id string, rule_version string, to_id string, units long, share decimal(18,12), place int, missing long, reason_code string",
+    )
+    finer = {"v1": ["v1", "v2"], **({"w": ["w"]} if "w" in shared else {})}
+    flows = spark.createDataFrame(
+        [(f"L{k}", version, source, cents) for version in finer for k, (source, cents) in enumerate([("S", 7), ("S", 7), ("S", 100), ("unknown", 5), (None, 3), ("S", 0)])],
+        "gl_line_id string, rule_version string, from_id string, cents long",
+    )
+    narrow = cas.Splits(outcomes, frozenset())
+    forms = (narrow, replace(narrow, wide_steps=frozenset(STEPS)))
+    one, other = (cas.distribute(flows, form, "app_to_bu", ["gl_line_id", "rule_version"], finer).select("rule_version", "gl_line_id", "cents", "found_reason", "to_id", "share", "part") for form in forms)
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    parts = {(row.rule_version, row.to_id): row.part for row in other.where("gl_line_id = 'L2'").collect()}
+    assert parts == {("v1", "A"): 60, ("v1", "B"): 40, ("v2", "B"): 100, **({("w", None): 100} if "w" in shared else {})}
+    exchanged = [line for line in _plan(other).splitlines() if "Exchange hashpartitioning(rule_version" in line and "slice" in line]
+    assert exchanged and not any("finer_version" in line for line in exchanged)
